@@ -21,8 +21,8 @@ def region_sql(lat: str, lon: str) -> str:
 
 
 def km_sql(a: str, b: str, c: str, d: str) -> str:
-    return f"""(2 * 6371 * asin(sqrt(least(1.0, power(sin((radians({c}) - radians({a})) / 2), 2)
-  + cos(radians({a})) * cos(radians({c})) * power(sin((radians({d}) - radians({b})) / 2), 2)))))"""
+    return f"""(2 * 6371 * asin(sqrt(power(sin((radians({c}) - radians({a})) / 2), 2)
+  + cos(radians({a})) * cos(radians({c})) * power(sin((radians({d}) - radians({b})) / 2), 2))))"""
 
 
 ROUTE_KM = km_sql("pickup_lat", "pickup_lon", "delivery_lat", "delivery_lon")
@@ -91,14 +91,13 @@ def gps_out_of_order(v: Views):
 
 @query(
     "gps_late_tagged",
-    f"""SELECT g.* REPLACE (round(latitude, 6) AS latitude, round(longitude, 6) AS longitude, round(accuracy, 6) AS accuracy),
-  coalesce(event_timestamp > ended + INTERVAL 15 MINUTE, false) AS is_late,
+    f"""SELECT g.*, coalesce(event_timestamp > ended + INTERVAL 15 MINUTE, false) AS is_late,
   CASE WHEN event_timestamp > ended + INTERVAL 15 MINUTE
-    THEN round((epoch_us(event_timestamp) - epoch_us(ended)) / 60000000, 6) END AS late_minutes
+    THEN (epoch_us(event_timestamp) - epoch_us(ended)) / 60000000 END AS late_minutes
 FROM {DEDUP} g LEFT JOIN (SELECT order_id, {ENDED} AS ended FROM orders_l) o ON g.order_id = o.order_id""",
 )
 def gps_late_tagged(v: Views):
-    return rounded(silver.late_tagged(silver.gps_events(v["gps_bronze"]), v["orders_l"]))
+    return silver.late_tagged(silver.gps_events(v["gps_bronze"]), v["orders_l"])
 
 
 ORDER_COLUMNS = """order_id, driver_id, order_type, TRY_CAST(created_at AS TIMESTAMP) AS created_at, pickup_lat, pickup_lon,
@@ -180,7 +179,7 @@ def scd2_drivers(v: Views):
     "scd2_upsert_stats",
     """WITH kept AS (SELECT driver_id, version_no, change_ts FROM (SELECT *, lag(vehicle_type) OVER (PARTITION BY driver_id
   ORDER BY change_ts) AS previous FROM driver_changes) WHERE vehicle_type IS DISTINCT FROM previous)
-SELECT count_if(version_no > 1) AS rows_inserted, count(DISTINCT CASE WHEN version_no > 1 THEN driver_id END) AS rows_updated,
+SELECT CAST(count_if(version_no > 1) AS BIGINT) AS rows_inserted, count(DISTINCT CASE WHEN version_no > 1 THEN driver_id END) AS rows_updated,
   count(DISTINCT CASE WHEN version_no > 1 THEN driver_id END) AS records_closed FROM kept""",
 )
 def scd2_upsert_stats(v: Views):

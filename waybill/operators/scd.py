@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.operators.ordered import neighbour
+from waybill.session import materialize
 
 EFFECTIVE, END, CURRENT = "effective_date", "end_date", "is_current"
 
@@ -21,12 +22,14 @@ def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts
     """Versions of every key: changes in time order without no-ops, each open until the next.
 
     At one instant the largest attribute values win. Days cut the time axis, so a key with very
-    many changes is spread over its days.
+    many changes is spread over its days. Both neighbour steps read their input twice, so it is
+    written once instead of being computed again.
     """
     by_day = F.unix_date(F.to_date(change_ts))
     dated = changes.where(F.col(key).isNotNull() & F.col(change_ts).isNotNull()).groupBy(key, change_ts).agg(
         F.max(F.struct(*attributes)).alias("__attributes")
     ).select(key, change_ts, "__attributes.*")
+    dated = materialize(dated, "scd-changes")
     compared = neighbour(
         dated,
         [key],
@@ -37,6 +40,7 @@ def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts
     versions = compared.where(F.col("__prev_ts").isNull() | ~_same(attributes, "__prev_")).select(
         key, *attributes, F.col(change_ts).alias(EFFECTIVE)
     )
+    versions = materialize(versions, "scd-versions")
     ended = neighbour(
         versions, [key], [EFFECTIVE], F.unix_date(F.to_date(EFFECTIVE)), {END: EFFECTIVE}, following=True
     )
