@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.views import spark_views, with_views
+from checks.views import SparkViews, with_views
 from waybill.session import prepare
 
-Views = dict[str, DataFrame]
+Views = SparkViews
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Views], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(spark_views(prepare(spark), sf_dir))
+            return fn(SparkViews(prepare(spark), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -36,7 +36,7 @@ def query_on_files(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(spark, sf_dir, spark_views(prepare(spark), sf_dir))
+            return fn(spark, sf_dir, SparkViews(prepare(spark), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

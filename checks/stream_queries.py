@@ -16,31 +16,32 @@ from waybill.streaming import jobs
 INGEST_DAY = date(2024, 2, 1)
 
 
-def _stream(spark, sf_dir: str, base: str, view: str):
+def _stream(v: Views, base: str, view: str):
     """A view of the test data over a stream of one of its base tables.
 
     The base table's name is bound to the stream while the view's SQL is analysed, and back to
     the batch table afterwards; the other tables stay static.
     """
-    batch = spark.table(SPARK.t(base))
-    raw = spark.read.parquet(f"{sf_dir}/{base}.parquet").schema
+    v[view]  # registers what the view's SQL names
+    batch = v.base(base)
+    raw = v.spark.read.parquet(v.path(base)).schema
     # a pattern, because a stream source takes folders and patterns but no single file
-    stream = jobs.file_stream(spark, f"{sf_dir}/{base}.parque[t]", raw)
+    stream = jobs.file_stream(v.spark, v.path(base).removesuffix("t") + "[t]", raw)
     stream.select(*(F.col(f.name).cast(batch.schema[f.name].dataType).alias(f.name) for f in raw)).createOrReplaceTempView(
         SPARK.t(base)
     )
     try:
-        return spark.sql(view_sql(SPARK)[view])
+        return v.spark.sql(view_sql(SPARK)[view])
     finally:
         batch.createOrReplaceTempView(SPARK.t(base))
 
 
-def _topics(spark, sf_dir: str, v: Views):
+def _topics(v: Views):
     return {
-        "drivers": _stream(spark, sf_dir, "customer", "drivers"),
-        "orders": _stream(spark, sf_dir, "orders", "orders_l"),
-        "gps_events": _stream(spark, sf_dir, "events", "gps_bronze"),
-        "weather_events": _stream(spark, sf_dir, "events", "weather"),
+        "drivers": _stream(v, "customer", "drivers"),
+        "orders": _stream(v, "orders", "orders_l"),
+        "gps_events": _stream(v, "events", "gps_bronze"),
+        "weather_events": _stream(v, "events", "weather"),
     }
 
 
@@ -55,7 +56,7 @@ UNION ALL SELECT 'weather_events', strftime(start_time, 'year=%Y/month=%m/day=%d
 def stream_bronze_counts(spark, sf_dir, v: Views):
     """All four topics into date-partitioned bronze; counted from the partitions written."""
     out = None
-    for topic, stream in _topics(spark, sf_dir, v).items():
+    for topic, stream in _topics(v).items():
         run = jobs.ingest(stream, f"stream-{topic}", INGEST_DAY)
         written = spark.read.parquet(run.path)
         day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
@@ -66,7 +67,7 @@ def stream_bronze_counts(spark, sf_dir, v: Views):
 
 @query_on_files("stream_dedup", "SELECT DISTINCT event_id FROM gps_bronze")
 def stream_dedup(spark, sf_dir, v: Views):
-    run = jobs.drain(jobs.dedup(_stream(spark, sf_dir, "events", "gps_bronze")), "stream-dedup")
+    run = jobs.drain(jobs.dedup(_stream(v, "events", "gps_bronze")), "stream-dedup")
     return jobs.table(spark, run, StructType(v["gps_bronze"].schema.fields)).select("event_id")
 
 
@@ -79,7 +80,7 @@ GROUP BY ALL) WHERE metric_hour + INTERVAL 1 HOUR
 )
 def stream_region_hourly(spark, sf_dir, v: Views):
     """Hours closed by the watermark; the last one stays open."""
-    hourly = jobs.region_hourly(_stream(spark, sf_dir, "events", "gps_bronze"))
+    hourly = jobs.region_hourly(_stream(v, "events", "gps_bronze"))
     return jobs.table(spark, jobs.drain(hourly, "stream-hourly"), hourly.schema)
 
 
@@ -89,7 +90,7 @@ def stream_region_hourly(spark, sf_dir, v: Views):
 LEFT JOIN (SELECT order_id, {ENDED} AS ended FROM orders_l) o ON g.order_id = o.order_id""",
 )
 def stream_late_split(spark, sf_dir, v: Views):
-    tagged = jobs.late_split(_stream(spark, sf_dir, "events", "gps_bronze"), v["orders_l"])
+    tagged = jobs.late_split(_stream(v, "events", "gps_bronze"), v["orders_l"])
     run = jobs.drain(tagged, "stream-late", ["is_late"])
     return jobs.table(spark, run, tagged.schema).select("event_id", "order_id", "is_late")
 
@@ -100,7 +101,7 @@ def stream_late_split(spark, sf_dir, v: Views):
 LEFT JOIN drivers d ON g.driver_id = d.driver_id""",
 )
 def stream_enriched(spark, sf_dir, v: Views):
-    enriched = jobs.enrich(_stream(spark, sf_dir, "events", "gps_bronze"), v["drivers"])
+    enriched = jobs.enrich(_stream(v, "events", "gps_bronze"), v["drivers"])
     run = jobs.drain(enriched, "stream-enriched")
     return jobs.table(spark, run, enriched.schema).select("event_id", "order_id", "driver_id", "vehicle_type", "region")
 
@@ -111,6 +112,6 @@ def stream_enriched(spark, sf_dir, v: Views):
 UNION ALL SELECT 'gps_events', count(*), 0 FROM events""",
 )
 def stream_ingest_stats(spark, sf_dir, v: Views):
-    topics = _topics(spark, sf_dir, v)
+    topics = _topics(v)
     runs = {t: jobs.ingest(topics[t], f"stats-{t}", INGEST_DAY) for t in ("orders", "gps_events")}
     return jobs.ingest_stats(spark, runs).select("topic", "total_records", "errors")

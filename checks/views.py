@@ -5,6 +5,8 @@ Only deterministic integer arithmetic is used, so Spark and DuckDB agree on ever
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,22 +137,8 @@ FROM {t('part')}""",
     }
 
 
-def spark_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The views as DataFrames; timestamps without zone are read as UTC instants."""
-    for name in BASE_TABLES:
-        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        zoned = {c: F.col(c).cast("timestamp") for c, kind in table.dtypes if kind == "timestamp_ntz"}
-        (table.withColumns(zoned) if zoned else table).createOrReplaceTempView(SPARK.t(name))
-    views = {}
-    for name, sql in view_sql(SPARK).items():
-        views[name] = spark.sql(sql)
-        views[name].createOrReplaceTempView(SPARK.t(name))
-    return views
-
-
 def _needed(sql: str, views: dict[str, str]) -> set[str]:
-    import re
-
+    """Views a query uses, directly or through other views."""
     words = set(re.findall(r"[a-z_]+", sql))
     found = {v for v in views if v in words}
     for v in list(found):
@@ -158,6 +146,46 @@ def _needed(sql: str, views: dict[str, str]) -> set[str]:
     return found
 
 
+class SparkViews(Mapping):
+    """The views as DataFrames, each built on first use.
+
+    Timestamps without zone are read as UTC instants.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self._sf_dir, self._built = spark, sf_dir, {}
+        self._sql = view_sql(SPARK)
+        self._names = view_sql(Dialect("", "", True))
+
+    def path(self, name: str) -> str:
+        return f"{self._sf_dir}/{name}.parquet"
+
+    def base(self, name: str) -> DataFrame:
+        if name not in self._built:
+            table = self.spark.read.parquet(self.path(name))
+            zoned = {c: F.col(c).cast("timestamp") for c, kind in table.dtypes if kind == "timestamp_ntz"}
+            self._built[name] = table.withColumns(zoned) if zoned else table
+        self._built[name].createOrReplaceTempView(SPARK.t(name))
+        return self._built[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            text = self._names[name]
+            words = set(re.findall(r"[a-z_]+", text))
+            for used in words & set(BASE_TABLES):
+                self.base(used)
+            for used in words & set(self._sql) - {name}:
+                self[used].createOrReplaceTempView(SPARK.t(used))
+            self._built[name] = self.spark.sql(self._sql[name])
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._sql)
+
+    def __len__(self):
+        return len(self._sql)
+
+
 def with_views(sql: str) -> str:
     """Prefix a DuckDB query by the views it needs as common table expressions."""
     views = view_sql(DUCKDB)

@@ -129,7 +129,8 @@ def anomaly_cutoff(scored: DataFrame, n_rows: int, contamination: float = CONTAM
 def risk_anomalies(features: DataFrame, key: str = "driver_id", trees: int = TREES, contamination: float = CONTAMINATION) -> DataFrame:
     """Every driver's anomaly score and label (-1 anomalous, 1 normal)."""
     columns = [c for c in features.columns if c != key]
-    known = features.where(F.col(key).isNotNull())
+    # imputing and scaling read the features several times
+    known = materialize(features.where(F.col(key).isNotNull()), "risk-input")
     scaled = materialize(
         standardize(impute_mean(known, columns), columns), "risk-features"
     )
