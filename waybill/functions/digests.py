@@ -77,7 +77,7 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> Data
     """SHA-256 of every file below a path.
 
     Spark lists and spreads the files; each task streams its own files in chunks, so a file of
-    any size needs constant memory.
+    any size needs constant memory. Spark's listing leaves out empty files.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -86,15 +86,17 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> Data
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
+        from urllib.parse import quote
 
         from pyarrow import fs
 
         for batch in batches:
             hexes = []
             for uri in batch["path"]:
-                if uri.startswith("file:/") and not uri.startswith("file://"):
-                    uri = "file://" + uri.removeprefix("file:")
-                system, name = fs.FileSystem.from_uri(uri)
+                if uri.startswith("file:"):
+                    system, name = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+                else:
+                    system, name = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
                 hasher = hashlib.sha256()
                 with system.open_input_stream(name) as stream:
                     while chunk := stream.read(_CHUNK_BYTES):
