@@ -107,7 +107,7 @@ def kafka_records(v: Views):
     orders = v["orders_l"]
     records = writers.kafka_records(orders, "order_id")
     parsed = readers.parse_records(records, _schema(orders))
-    return parsed.where("quarantine_reason IS NULL").select(F.col("order_id").cast("string").alias("key"), *orders.columns)
+    return parsed.select(F.col("order_id").cast("string").alias("key"), *orders.columns)
 
 
 @query_on_files("storage_stats")

@@ -131,7 +131,7 @@ def test_quarantine_table(spark, tmp_path):
     raw = spark.createDataFrame([(None, 1, "2024-01-01", "standard"), (1, 1, "2024-01-01", "standard")],
                                 "order_id int, driver_id int, created_at string, order_type string")
     path = str(tmp_path / "q")
-    writers.write_quarantine(silver.quarantine(silver.tagged_orders(raw), "orders"), path)
+    writers.write_quarantine(silver.quarantine(silver.tagged_orders(raw), "orders"), path, "r1")
     row = spark.read.parquet(path).first()
     assert (row.dataset, row.quarantine_reason) == ("orders", "no order_id") and '"driver_id":1' in row.record
 

@@ -89,3 +89,52 @@ def test_small_lookups_are_broadcast_by_size_only(spark, v):
         assert "Broadcast" not in text and "SortMergeJoin" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.fixture
+def small_thresholds(spark):
+    """Make a few thousand rows count as skew, and keep joins from being broadcast."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, value in wanted.items():
+        spark.conf.set(k, value)
+    yield
+    for k, value in before.items():
+        spark.conf.unset(k) if value is None else spark.conf.set(k, value)
+
+
+def test_joins_split_a_hot_key(spark, small_thresholds):
+    """A third of the GPS rows belongs to one order, a third of the orders to one driver."""
+    from pyspark.sql import functions as F
+
+    hot = lambda column: F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    start = F.lit("2024-01-01").cast("timestamp")
+    gps = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("event_id"), hot("id").alias("order_id"), (F.col("id") % 50).alias("driver_id"),
+        F.rand(1).alias("latitude"), F.rand(2).alias("longitude"), start.alias("event_timestamp"),
+    )
+    orders = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("order_id"), hot("id").alias("driver_id"), start.alias("created_at"),
+        F.lit(10).alias("expected_delivery_minutes"), F.lit(12).alias("actual_delivery_minutes"), F.lit("express").alias("order_type"),
+        *(F.rand(i).alias(c) for i, c in enumerate(["pickup_lat", "pickup_lon", "delivery_lat", "delivery_lon"])),
+    )
+    drivers = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").alias("driver_id"), F.lit("van").alias("vehicle_type"), F.lit(1).alias("experience_years"),
+        F.lit(1).alias("accident_history"), F.lit(0.1).alias("weather_sensitivity"),
+    )
+    for name, table, rows in [
+        ("late", silver.late_tagged(gps, orders), 60_000),
+        ("delay", features.delay_features(orders, drivers), 60_000),
+        ("eta", features.eta_features(orders, drivers), 60_000),
+    ]:
+        table.write.format("noop").mode("overwrite").save()
+        assert table.count() == rows, name
+        execution = table.groupBy().agg(F.max(F.hash(*table.columns)))._jdf.queryExecution()
+        execution.toRdd().count()  # runs the plan, so that AQE settles it
+        assert "skew=true" in execution.executedPlan().toString(), name

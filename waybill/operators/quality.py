@@ -145,9 +145,10 @@ def freshness(
     return _result(newest, "data_freshness", stage, status, age, max_age_hours, message)
 
 
-def report(checks: list[DataFrame]) -> DataFrame:
-    """All check rows in one table."""
-    return reduce(DataFrame.unionByName, checks)
+def report(checks: list[DataFrame], at: datetime | None = None) -> DataFrame:
+    """All check rows in one table, with the time of the checks when given."""
+    rows = reduce(DataFrame.unionByName, checks)
+    return rows if at is None else rows.withColumn("timestamp", F.lit(at).cast("timestamp"))
 
 
 def summary(checks: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def ingest_jsonl(
     good, bad = split_corrupt(rows, ts)
     write_bronze(good, target, ts)
     if quarantine:
-        write_quarantine(bad.withColumn("dataset", F.lit(dataset)), quarantine)
+        write_quarantine(bad.withColumn("dataset", F.lit(f"bronze_{dataset}")), quarantine, run_id(at))
     return target
 
 

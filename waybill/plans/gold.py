@@ -28,11 +28,13 @@ def _route_km():
 
 
 def _measured(orders: DataFrame) -> DataFrame:
-    return (
-        orders.withColumn("delay_minutes", delay_minutes())
-        .withColumn("delay_flag", delay_flag("delay_minutes"))
-        .withColumn("route_distance_km", _route_km())
-        .withColumn("traffic_score", traffic_score())
+    return orders.withColumns(
+        {
+            "delay_minutes": delay_minutes(),
+            "delay_flag": delay_flag(delay_minutes()),
+            "route_distance_km": _route_km(),
+            "traffic_score": traffic_score(),
+        }
     )
 
 

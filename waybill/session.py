@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs a further shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # fewer, larger shuffle reads and output files than the default of 64 MB
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 

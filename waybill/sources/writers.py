@@ -114,11 +114,21 @@ def write_report(checks: DataFrame, summary: DataFrame, path: str) -> None:
     summary.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/summary")
 
 
-def write_quarantine(rows: DataFrame, path: str) -> None:
-    """Append rejected rows (as JSON text with their reason), partitioned by dataset."""
+def write_quarantine(rows: DataFrame, path: str, run: str) -> None:
+    """Rejected rows as JSON text with their reason, partitioned by dataset and run.
+
+    Repeating a run replaces its own rejects.
+    """
     content = [c for c in rows.columns if c not in ("dataset", "quarantine_reason")]
-    packed = rows.select("dataset", "quarantine_reason", F.to_json(F.struct(*content)).alias("record"))
-    packed.write.mode("append").partitionBy("dataset").parquet(path)
+    packed = rows.select(
+        "dataset", F.lit(run).alias("run"), "quarantine_reason", F.to_json(F.struct(*content)).alias("record")
+    )
+    (
+        packed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "run")
+        .parquet(path)
+    )
 
 
 def append_log(rows: DataFrame, base: str, log: str) -> None:
