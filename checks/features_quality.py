@@ -210,9 +210,24 @@ GPS_EXPECTED = {
 }
 
 
-@query("dq_schema")
+def schema_row(name: str, expected: str | None, actual: str | None, state: str) -> str:
+    text = lambda x: "CAST(NULL AS VARCHAR)" if x is None else f"'{x}'"
+    nulls = f"count(*) - count({name})" if actual else "nullif(count(*), count(*))"
+    return f"""SELECT '{name}' AS "column", {text(expected)} AS expected, {text(actual)} AS actual, '{state}' AS state,
+  {nulls} AS null_count FROM gps_bronze"""
+
+
+@query(
+    "dq_schema",
+    "\nUNION ALL ".join(
+        [schema_row(c, k, None if c == "altitude" else k, "missing" if c == "altitude" else "ok") for c, k in GPS_EXPECTED.items()]
+        + [schema_row("ingestion_timestamp", None, "timestamp", "unexpected")]
+    ),
+)
 def dq_schema(v: Views):
-    return quality.schema(v["gps_bronze"], GPS_EXPECTED, "bronze_gps_events", check_types=True)
+    """Column states with the nulls found in each column."""
+    states = quality.schema_columns(v["gps_bronze"], GPS_EXPECTED, check_types=True)
+    return states.join(quality.null_profile(v["gps_bronze"]).select("column", "null_count"), "column", "left")
 
 
 def null_row(name: str) -> str:

@@ -24,7 +24,7 @@ def _stream(v: Views, base: str, view: str):
     """
     v[view]  # registers what the view's SQL names
     batch = v.base(base)
-    raw = v.spark.read.parquet(v.path(base)).schema
+    raw = v.raw_schema(base)
     # a pattern, because a stream source takes folders and patterns but no single file
     stream = jobs.file_stream(v.spark, v.path(base).removesuffix("t") + "[t]", raw)
     stream.select(*(F.col(f.name).cast(batch.schema[f.name].dataType).alias(f.name) for f in raw)).createOrReplaceTempView(

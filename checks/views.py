@@ -146,6 +146,10 @@ def _needed(sql: str, views: dict[str, str]) -> set[str]:
     return found
 
 
+# inferred once per table: inference is a Spark job of its own
+_SCHEMAS: dict = {}
+
+
 class SparkViews(Mapping):
     """The views as DataFrames, each built on first use.
 
@@ -160,9 +164,15 @@ class SparkViews(Mapping):
     def path(self, name: str) -> str:
         return f"{self._sf_dir}/{name}.parquet"
 
+    def raw_schema(self, name: str):
+        path = self.path(name)
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return _SCHEMAS[path]
+
     def base(self, name: str) -> DataFrame:
         if name not in self._built:
-            table = self.spark.read.parquet(self.path(name))
+            table = self.spark.read.schema(self.raw_schema(name)).parquet(self.path(name))
             zoned = {c: F.col(c).cast("timestamp") for c, kind in table.dtypes if kind == "timestamp_ntz"}
             self._built[name] = table.withColumns(zoned) if zoned else table
         self._built[name].createOrReplaceTempView(SPARK.t(name))
