@@ -6,8 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from waybill.operators import ordered
 from waybill.operators.history import COUNT, RATIO, leak_check, trailing_history
-from waybill.operators.ordered import neighbour, running_before, slice_of
+from waybill.operators.ordered import neighbour, running_before
 from waybill.operators.weather import SCORE, delivery_weather, weather_at_creation
 
 
@@ -17,9 +18,18 @@ def skewed_rows(n=400, seed=1, low=-500, high=2000):
     return [(i, rnd.choice(keys), rnd.randint(low, high), rnd.choice([None, *range(5)])) for i in range(n)]
 
 
-@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
+@pytest.fixture(params=["plain slices", "busy slices cut again"])
+def splitting(request, monkeypatch):
+    if request.param != "plain slices":
+        monkeypatch.setattr(ordered, "SMALL_INPUT_BYTES", 0)
+        monkeypatch.setattr(ordered, "HOT_ROWS", 10)
+        monkeypatch.setattr(ordered, "HOT_PARTS", 5)
+        monkeypatch.setattr(ordered, "HOT_SLICES", 3)
+
+
+@pytest.mark.parametrize("width", [1, 100, 10_000])
 @pytest.mark.parametrize("inclusive", [False, True])
-def test_running_before(spark, width, inclusive):
+def test_running_before(spark, width, inclusive, splitting):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id int, k string, t long, v int")
     got = {
@@ -34,10 +44,10 @@ def test_running_before(spark, width, inclusive):
 
 @pytest.mark.parametrize("following", [False, True])
 @pytest.mark.parametrize("width", [3, 150, 100_000])
-def test_neighbour(spark, following, width):
+def test_neighbour(spark, following, width, splitting):
     rows = skewed_rows(seed=2)
     df = spark.createDataFrame(rows, "id int, k string, t long, v int")
-    near = neighbour(df, ["k"], ["t", "id"], slice_of(F.col("t"), width), {"near_id": "id", "near_v": "v"}, following)
+    near = neighbour(df, ["k"], ["t", "id"], F.col("t"), width, {"near_id": "id", "near_v": "v"}, following)
     got = {r.id: (r.near_id, r.near_v) for r in near.collect()}
     assert len(got) == len(rows)
     for key in {r[1] for r in rows}:
@@ -69,6 +79,20 @@ def test_history_against_brute_force(spark):
         assert got[i] == (len(past), pytest.approx(ratio) if past else None)
 
 
+def test_slices_sort_like_rows_and_bound_a_hot_hour(spark, monkeypatch):
+    """A third of the rows in one hour of one key: no slice keeps them together."""
+    monkeypatch.setattr(ordered, "SMALL_INPUT_BYTES", 0)
+    monkeypatch.setattr(ordered, "HOT_ROWS", 100)
+    hour = 3_600_000_000
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
+        F.when(F.col("id") % 3 == 0, 5 * hour + F.col("id") * 1_000_000).otherwise(F.col("id") * hour).alias("t"),
+    )
+    sliced = ordered.with_slices(df, ["k"], F.col("t"), hour)
+    assert sliced.groupBy("k", ordered.SLICE).count().agg(F.max("count")).first()[0] == 1
+    assert sliced.where(F.col(ordered.SLICE) > F.col("t")).count() == 0
+
+
 def test_history_boundaries(spark):
     day90 = timedelta(days=90)
     micro = timedelta(microseconds=1)

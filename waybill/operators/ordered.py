@@ -1,8 +1,8 @@
 """Ordered computations per key that stay parallel when one key holds much of the data.
 
 A plain ``Window.partitionBy(key).orderBy(time)`` puts a whole key into one task. Here every key
-is cut into slices of its order axis (an hour, a value range). Three steps, each bounded by the
-slice and not by the key:
+is cut into slices of its order axis (an hour, a value range), and busy slices once more. Three
+steps, each bounded by the slice and not by the key:
 
 1. summarise every (key, slice) - a map-side combined aggregation;
 2. carry the summaries across the slices of a key - a window over summaries only, whose number
@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.session import input_bytes
+
 SLICE = "__slice"
 CARRY = "__carry"
 # sorts before every position that can occur, and leaves room for a frame offset of one
@@ -24,10 +26,42 @@ BEFORE_ALL = -(1 << 62)
 
 COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
+# A slice with more rows than this may be cut again, into this many parts; at most so many slices.
+# Whatever lies beyond the busiest HOT_SLICES has less than 1 / HOT_SLICES of all rows.
+# Below the input size no slice can be too much for a task, and the counting pass is saved.
+SMALL_INPUT_BYTES = 1 << 30
+HOT_ROWS = 100_000
+HOT_PARTS = 3_600_000
+HOT_SLICES = 1000
+
+
+def with_slices(rows: DataFrame, keys: list[str], position: Column, width: int) -> DataFrame:
+    """Add the slice of each row: the start of its ``width`` on the order axis.
+
+    The busiest slices, should a third of the rows lie in one hour of one key, are cut finer. A
+    finer slice starts inside the one it came from, so slices still sort like their rows.
+    """
 
-def slice_of(position: Column, width: int) -> Column:
-    """Number of the slice of the given width a bigint position falls into."""
-    return F.floor(position / F.lit(width)).cast("long") if width > 1 else position
+    def cut(step: int) -> Column:
+        return (position - F.pmod(position, F.lit(step))).cast("long")
+
+    coarse = rows.withColumn(SLICE, cut(width))
+    fine = max(1, width // HOT_PARTS)
+    if fine == width or input_bytes(rows) < SMALL_INPUT_BYTES:
+        return coarse
+    busiest = (
+        coarse.groupBy(*keys, SLICE)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > HOT_ROWS)
+        .orderBy(F.desc("__n"))
+        .limit(HOT_SLICES)
+        .select(*keys, SLICE, F.lit(True).alias("__hot"))
+    )
+    return (
+        coarse.join(F.broadcast(busiest), [*keys, SLICE], "left")
+        .withColumn(SLICE, F.when(F.col("__hot"), cut(fine)).otherwise(F.col(SLICE)))
+        .drop("__hot")
+    )
 
 
 def running_before(
@@ -35,23 +69,16 @@ def running_before(
     keys: list[str],
     position: str,
     measures: dict[str, tuple[str, str]],
-    width: int | None = None,
-    slice_column: str | None = None,
+    width: int,
     inclusive: bool = False,
 ) -> DataFrame:
     """Add running aggregates over the rows of the same key that lie before each row.
 
     ``measures`` maps an output column to (how, input column), how being sum, max or min.
     "Before" is strict in ``position`` (a bigint): rows at the same position do not see each
-    other, unless ``inclusive``. Keys and positions must not be null. Slices are ``width`` wide,
-    or given by ``slice_column``, which must grow with the position.
+    other, unless ``inclusive``. Keys and positions must not be null. Slices are ``width`` wide.
     """
-    if slice_column is None:
-        # div rounds towards zero, so shift negative positions through pmod
-        cut = (F.col(position) - F.pmod(F.col(position), F.lit(width))).cast("long")
-    else:
-        cut = F.col(slice_column).cast("long")
-    sliced = rows.withColumn(SLICE, cut)
+    sliced = with_slices(rows, keys, F.col(position), width)
 
     summaries = sliced.groupBy(*keys, SLICE).agg(
         *(COMBINE[how](value).alias(name) for name, (how, value) in measures.items())
@@ -91,21 +118,22 @@ def neighbour(
     rows: DataFrame,
     keys: list[str],
     order: list[str],
-    slice_by: Column,
+    position: Column,
+    width: int,
     values: dict[str, str],
     following: bool = False,
 ) -> DataFrame:
     """Add values of the previous (or following) row of the same key, in the order of ``order``.
 
-    ``values`` maps an output column to the column read from the neighbour. ``slice_by`` cuts
-    the axis of the first order column into slices and must grow with it. Keys must not be null.
+    ``values`` maps an output column to the column read from the neighbour. ``position`` is the
+    first order column as a bigint; slices are ``width`` wide on it. Keys must not be null.
     """
     sources = list(dict.fromkeys(values.values()))
-    sliced = rows.withColumn(SLICE, slice_by)
-    position = F.struct(*order)
+    sliced = with_slices(rows, keys, position, width)
+    place = F.struct(*order)
     packed = F.struct(*(F.col(c).alias(c) for c in sources))
     pick = F.min_by if following else F.max_by
-    summaries = sliced.groupBy(*keys, SLICE).agg(pick(packed, position).alias("__edge"))
+    summaries = sliced.groupBy(*keys, SLICE).agg(pick(packed, place).alias("__edge"))
     across = Window.partitionBy(*keys).orderBy(SLICE)
     step = F.lead if following else F.lag
     carries = (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.timing import MICROS_PER_DAY, micros
 from waybill.operators.ordered import neighbour
 from waybill.session import materialize
 
@@ -25,7 +26,6 @@ def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts
     many changes is spread over its days. Both neighbour steps read their input twice, so it is
     written once instead of being computed again.
     """
-    by_day = F.unix_date(F.to_date(change_ts))
     dated = changes.where(F.col(key).isNotNull() & F.col(change_ts).isNotNull()).groupBy(key, change_ts).agg(
         F.max(F.struct(*attributes)).alias("__attributes")
     ).select(key, change_ts, "__attributes.*")
@@ -34,7 +34,8 @@ def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts
         dated,
         [key],
         [change_ts],
-        by_day,
+        micros(change_ts),
+        MICROS_PER_DAY,
         {**{f"__prev_{a}": a for a in attributes}, "__prev_ts": change_ts},
     )
     versions = compared.where(F.col("__prev_ts").isNull() | ~_same(attributes, "__prev_")).select(
@@ -42,7 +43,7 @@ def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts
     )
     versions = materialize(versions, "scd-versions")
     ended = neighbour(
-        versions, [key], [EFFECTIVE], F.unix_date(F.to_date(EFFECTIVE)), {END: EFFECTIVE}, following=True
+        versions, [key], [EFFECTIVE], micros(EFFECTIVE), MICROS_PER_DAY, {END: EFFECTIVE}, following=True
     )
     return ended.withColumn(CURRENT, F.col(END).isNull())
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.geo import haversine_km
 from waybill.functions.timing import MICROS_PER_HOUR, MICROS_PER_MINUTE, micros
-from waybill.operators.ordered import neighbour, slice_of
+from waybill.operators.ordered import neighbour
 
 
 def out_of_order(gps: DataFrame, keys: list[str], arrival: str) -> DataFrame:
@@ -18,7 +18,8 @@ def out_of_order(gps: DataFrame, keys: list[str], arrival: str) -> DataFrame:
         gps.where(usable),
         keys,
         [arrival, "event_id"],
-        slice_of(micros(arrival), MICROS_PER_HOUR),
+        micros(arrival),
+        MICROS_PER_HOUR,
         {"previous_event_timestamp": "event_timestamp"},
     )
     return arrived.withColumn(
@@ -34,7 +35,8 @@ def legs(gps: DataFrame, keys: list[str]) -> DataFrame:
         gps.where(usable),
         keys,
         ["event_timestamp", "event_id"],
-        slice_of(micros("event_timestamp"), MICROS_PER_HOUR),
+        micros("event_timestamp"),
+        MICROS_PER_HOUR,
         {"__lat": "latitude", "__lon": "longitude", "__ts": "event_timestamp"},
     )
     hours = (micros("event_timestamp") - micros("__ts")) / F.lit(float(MICROS_PER_HOUR))

@@ -72,3 +72,9 @@ def materialize(df, label: str):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def input_bytes(df) -> int:
+    """Estimated bytes of all inputs of a plan, from Spark's statistics; nothing is run."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
