@@ -55,6 +55,7 @@ def test_ingest_appends_and_reruns_replace(spark, tmp_path):
     stats = readers.storage_stats(spark, target, "gps_events", "*.parquet").first()
     on_disk = [os.path.join(d, f) for d, _, fs in os.walk(target) for f in fs if f.endswith(".parquet")]
     assert (stats.files, stats.size_bytes) == (len(on_disk), sum(map(os.path.getsize, on_disk)))
+    assert readers.storage_stats(spark, f"{lake}/nothing", "x").count() == 0
     summary = bronze.ingest_summary(table, "gps_events", "event_timestamp").first()
     assert (summary.rows_ingested, summary.partitions) == (4, 2)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,7 +85,9 @@ def build_silver(spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, run
         F.max_by(F.struct(*rest), F.struct("ingestion_timestamp", *[c for c in rest if c != "ingestion_timestamp"])).alias("p")
     )
     writers.write_parquet(newest.select("driver_id", "p.*"), lake.silver("drivers"))
-    return {name: readers.read_layer(spark, lake.silver(name)) for name in ["gps_events", "orders", "weather", "drivers"]}
+    return {name: readers.read_layer(spark, lake.silver(name)) for name in built} | {
+        "drivers": readers.read_parquet(spark, lake.silver("drivers"))
+    }
 
 
 def build_gold(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) -> dict[str, DataFrame]:
@@ -176,9 +178,10 @@ def run(spark: SparkSession, landing: str, base: str, at: datetime, with_models:
     lake = Lake(base.rstrip("/"))
     raw = ingest_all(spark, landing, lake, at)
     tables = build_silver(spark, raw, lake, run_id(at))
-    day = at.strftime("%Y-%m-%d")
-    tables["orders"] = silver.within_retention(tables["orders"], "created_at", day, retention_days)
-    tables["gps_events"] = silver.within_retention(tables["gps_events"], "event_timestamp", day, retention_days)
+    # whole partitions beyond the retention are never opened
+    oldest = at.date() - timedelta(days=retention_days)
+    for name in ("orders", "gps_events"):
+        tables[name] = readers.read_layer(spark, lake.silver(name), since=oldest)
     built = build_gold(spark, tables, lake)
     snapshots = build_features(spark, tables, lake)
     checks = check_quality(raw, tables, built, lake, at)

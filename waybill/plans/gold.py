@@ -17,6 +17,7 @@ from waybill.functions.timing import (
 )
 from waybill.operators import weather as weather_ops
 
+# Columns of the deliveries table.
 DELIVERY_COLUMNS = [
     "order_id", "driver_id", "order_type", "created_at", "delay_minutes", "delay_flag",
     "route_distance_km", "weather_impact_score", "traffic_score",

@@ -11,6 +11,7 @@ from waybill.operators.contracts import REASON, accepted, quarantined, tagged
 from waybill.operators.dedup import first_arrival
 from waybill.schemas import GPS_EVENTS, LATE_GRACE_MINUTES, ORDERS, RETENTION_DAYS, WEATHER_EVENTS
 
+# Columns of the GPS table.
 GPS_COLUMNS = [
     "event_id", "order_id", "driver_id", "latitude", "longitude", "accuracy", "event_timestamp",
     "ingestion_timestamp",

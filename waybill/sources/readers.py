@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -108,14 +109,18 @@ def kafka_table(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 
 
 def storage_stats(spark: SparkSession, path: str, dataset: str, glob: str | None = None) -> DataFrame:
-    """Files, bytes and megabytes below a path, from the listing alone (no file is read)."""
+    """Files, bytes and megabytes below a path, from the listing alone (no file is read); no row
+    when the path does not exist."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    try:
+        listing = reader.load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "dataset string, files long, size_bytes long, size_mb double")
     size = F.coalesce(F.sum("length"), F.lit(0)).cast("long")
     return (
-        reader.load(path)
-        .select("length")
+        listing.select("length")
         .agg(F.count(F.lit(1)).alias("files"), size.alias("size_bytes"))
         .select(
             F.lit(dataset).alias("dataset"),

@@ -18,6 +18,7 @@ from waybill.functions.geo import assign_region
 from waybill.functions.timing import delivered_at, is_late, with_date_levels
 from waybill.plans.bronze import stream_date_column
 from waybill.session import scratch_path
+from waybill.sources.readers import TOPICS, kafka_table
 from waybill.sources.writers import DATE_COLUMNS
 
 # Lateness allowed, hourly windows, pause between runs.
@@ -36,7 +37,7 @@ def file_stream(
 def bronze_rows(stream: DataFrame, ingest_date: date) -> DataFrame:
     """Add partition columns from the record's date, or from the ingest date when it has none."""
     column = stream_date_column(stream.columns)
-    dated = F.to_date(column) if column else F.lit(ingest_date)
+    dated = F.coalesce(F.to_date(column), F.lit(ingest_date)) if column else F.lit(ingest_date)
     return with_date_levels(stream, dated)
 
 
@@ -138,6 +139,27 @@ def ingest(stream: DataFrame, label: str, ingest_date: date, path: str | None =
     return drain(bronze_rows(stream, ingest_date), label, DATE_COLUMNS, path)
 
 
+def start_topics(
+    spark: SparkSession, servers: str, lake: str, ingest_date: date, once: bool = True, every: str = RUN_EVERY
+) -> dict[str, StreamingQuery]:
+    """One query per Kafka topic into ``lake/raw/<topic>``, side by side.
+
+    Unreadable messages stay in bronze with their ``quarantine_reason``: each message is parsed
+    once, and silver leaves them out.
+    """
+    return {
+        topic: start(
+            bronze_rows(kafka_table(spark, servers, topic), ingest_date),
+            f"{lake}/raw/{topic}",
+            f"{lake}/checkpoints/{topic}",
+            DATE_COLUMNS,
+            once,
+            every,
+        )
+        for topic in TOPICS
+    }
+
+
 def ingest_stats(spark: SparkSession, runs: dict[str, Drained]) -> DataFrame:
     """One row per topic: records, batches, errors."""
     rows = [(topic, r.total_records, r.batches_written, r.errors) for topic, r in runs.items()]
