@@ -1,29 +1,14 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
+from checks.daily_query import write_landing
 from checks.views import SparkViews
 from waybill.plans import daily
-from waybill.schemas import DATASETS
 from waybill.sources import readers, writers
 
 
-def landing(spark, path):
-    v = SparkViews(spark, "/root/testdata/sf0.001")
-    tables = {
-        "drivers": v["drivers"].withColumn("onboard_timestamp", F.lit("2024-01-01").cast("timestamp")),
-        "orders": v["orders_l"].withColumn("status", F.lit("completed")),
-        "gps_events": v["gps_bronze"],
-        "weather_events": v["weather"],
-    }
-    for name, table in tables.items():
-        fields = DATASETS[name].fields
-        writers.write_jsonl(table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields)), f"{path}/{name}")
-
-
 def test_daily_run(spark, tmp_path):
     source, lake = str(tmp_path / "landing"), str(tmp_path / "lake")
-    landing(spark, source)
+    write_landing(SparkViews(spark, "/root/testdata/sf0.001"), source)
     at = datetime(2024, 2, 1)
     checks = daily.run(spark, source, lake, at)
     statuses = {(r.check, r.stage): r.status for r in checks.collect()}

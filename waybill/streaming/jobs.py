@@ -118,14 +118,23 @@ def drain(
     base = scratch_path(spark, label)
     path, checkpoint = path or f"{base}/table", checkpoint or f"{base}/checkpoint"
     query = start(stream, path, checkpoint, partition_by)
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress]
-    dropped = sum(op.numRowsDroppedByWatermark for p in progress for op in p.stateOperators)
+    batches: dict[int, tuple[int, int]] = {}
+
+    def collect() -> None:
+        # Spark keeps the last 100 progress entries only, hence the look every second
+        for p in query.recentProgress:
+            late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+            rows, dropped = batches.get(p.batchId, (0, 0))
+            batches[p.batchId] = (max(rows, p.numInputRows), max(dropped, late))
+
+    while not query.awaitTermination(1):
+        collect()
+    collect()
     return Drained(
         path=path,
-        total_records=sum(p.numInputRows for p in progress),
-        batches_written=sum(1 for p in progress if p.numInputRows > 0),
-        rows_dropped_late=dropped,
+        total_records=sum(rows for rows, _ in batches.values()),
+        batches_written=sum(1 for rows, _ in batches.values() if rows > 0),
+        rows_dropped_late=sum(dropped for _, dropped in batches.values()),
         errors=0 if query.exception() is None else 1,
     )
 
