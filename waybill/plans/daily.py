@@ -22,7 +22,7 @@ from waybill.operators import dedup, quality
 from waybill.operators.drift import drift_result, feature_drift
 from waybill.plans import bronze, features, gold, silver
 from waybill.schemas import DATASETS, RETENTION_DAYS
-from waybill.session import build_session
+from waybill.session import build_session, materialize
 from waybill.sources import readers, writers
 
 
@@ -102,14 +102,19 @@ def build_gold(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) ->
 
 
 def build_features(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) -> dict[str, tuple[DataFrame, str]]:
-    """Feature snapshots, each with its dataset hash."""
+    """Feature snapshots, each with its dataset hash.
+
+    The hash is part of the path and needs the row count first, so the rows are computed once
+    into the work folder and copied from there.
+    """
     built = {
         "delay_model_features_v1": features.delay_features(tables["orders"], tables["drivers"], tables["weather"]),
         "eta_model_features_v1": features.eta_features(tables["orders"], tables["drivers"]),
         "driver_risk_features_v1": features.driver_risk_features(tables["orders"], tables["drivers"], tables["gps_events"]),
     }
     snapshots = {}
-    for name, table in built.items():
+    for name, plan in built.items():
+        table = materialize(plan, name)
         digest = dataset_fingerprint(table).first()["dataset_hash"]
         snapshots[name] = (spark.read.parquet(writers.write_features(table, lake.features, name, digest)), digest)
     return snapshots
@@ -133,7 +138,7 @@ def check_quality(
         measured = ["delay_minutes", "route_distance_km"]
         drifted = feature_drift(built["deliveries"], baseline, measured, "gold_deliveries")
         checks.append(drift_result(drifted, "gold_deliveries", measured))
-    report = quality.report(checks, now)
+    report = materialize(quality.report(checks, now), "quality")  # read by the log and by the report
     writers.append_log(
         report.select(
             F.col("check").alias("check_name"),
