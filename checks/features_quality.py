@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.registry import Views, query, rounded
 from checks.silver_gold import DEDUP, DELAY, ENDED, HOURLY, km_sql
 from waybill.functions import digests
