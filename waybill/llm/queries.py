@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, decontaminate, pages, quality, secrets, token_files, toxicity
+from waybill.llm import bpe, decontaminate, pages, quality, secrets, substrings, token_files, toxicity
 from waybill.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "pages")
     return pages.extracted(rows, pages.learn(rows))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
