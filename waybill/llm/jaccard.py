@@ -206,7 +206,8 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, content, n_shingles, and component_id, the smallest doc_id reachable by links."""
+    """Per row: doc_id, content, n_shingles, component_id, the smallest doc_id reachable by links, and root, which the rows of a
+    component share (null where there is nothing to link)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("content"))
     table = materialize(summaries(docs, size), "sets")
@@ -244,7 +245,7 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         labels = merged(labels, links)
     low = nodes.join(labels, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     ids = low.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = low.join(ids, "root").select("node", "component_id")
+    found = low.join(ids, "root").select("node", "component_id", "root")
     joined = rows.where("doc_id is not null").join(found, "node", "left")
-    alone = rows.where("doc_id is null").select("doc_id", "content", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return joined.select("doc_id", "content", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")).unionByName(alone)
+    alone = rows.where("doc_id is null").select("doc_id", "content", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"))
+    return joined.select("doc_id", "content", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "root").unionByName(alone)

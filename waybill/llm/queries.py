@@ -81,7 +81,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.classes(table(spark, sf_dir, "documents"), size=4, percent=85).drop("content")
+    return jaccard.classes(table(spark, sf_dir, "documents"), size=4, percent=85).drop("content", "root")
 
 
 @query
