@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, decoders, models, pre_tokenizers
 
-from waybill.llm.text import chunks, hash_spans, utf8
+from waybill.llm.text import chunks, fresh, hash_spans, utf8
 
 PIECES_KEPT = 1_500_000  # pieces whose ids a worker remembers
 OUTSIDE = re.compile(r"[\sA-Za-z0-9']").search  # in ASCII: characters outside a run of symbols, and the start of contractions
@@ -245,16 +245,17 @@ def encode(docs: DataFrame, path: str, column: str = "text", offsets: bool = Fal
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     schema = StructType([*rest.schema.fields, *[StructField(n, ArrayType(IntegerType())) for n in names]])
-    source = rest.withColumn("__bpe", target)
+    own = fresh("bpe_text", rest.columns)
+    source = rest.withColumn(own, target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, table = encoder(path), token_bytes(path) if offsets else []
-        for batch in chunks(batches, "__bpe"):
-            ids, bounds, _, _ = coder.rows(batch.column("__bpe"))
+        for batch in chunks(batches, own):
+            ids, bounds, _, _ = coder.rows(batch.column(own))
             made = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))]
             if offsets:
-                own = [offsets_of(t, ids[a:b], table) for t, a, b in zip(batch.column("__bpe").to_pylist(), bounds, bounds[1:], strict=False)]
-                made += [list_array(list(x)) for x in zip(*own, strict=True)]
+                places = [offsets_of(t, ids[a:b], table) for t, a, b in zip(batch.column(own).to_pylist(), bounds, bounds[1:], strict=False)]
+                made += [list_array(list(x)) for x in zip(*places, strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns - 1)], *made], schema=pa.schema([*list(batch.schema)[:-1], *[pa.field(n, pa.list_(pa.int32())) for n in names]]))
 
     return source.mapInArrow(run, schema)

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.llm.text import fresh
 from waybill.session import materialize
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -128,5 +129,6 @@ def cleaned(docs: DataFrame, host: str = "source") -> DataFrame:
     each = keyed.dropDuplicates(["__row"]).select("__row", "host", F.posexplode(F.split("text", "\n")).alias("at", "words"))
     left = each.withColumn("line", F.xxhash64(normal_line(F.col("words")))).join(common, ["host", "line"], "left_anti")
     texts = left.groupBy("__row").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "words"))), lambda x: x["words"]), "\n").alias("__text"))
-    whole = docs.withColumn("__row", row_key(host)).join(texts, "__row", "left")
-    return whole.withColumn("text", F.when(F.col("text").isNotNull(), F.coalesce("__text", F.lit("")))).select(*docs.columns)
+    row, new = fresh("row", docs.columns), fresh("new_text", docs.columns)
+    whole = docs.withColumn(row, row_key(host)).join(texts.toDF(row, new), row, "left")
+    return whole.withColumn("text", F.when(F.col("text").isNotNull(), F.coalesce(new, F.lit("")))).select(*docs.columns)

@@ -18,6 +18,13 @@ ROLL = np.uint64(0xC2B2AE3D27D4EB4F | 1)
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = "_" + name
+    return name
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in slices of at most `limit` bytes of text, one row at least; a null text is read as empty, a binary one as it is."""
     for batch in batches:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.text import chunks, hash_spans, spans, utf8
+from waybill.llm.text import chunks, fresh, hash_spans, spans, utf8
 
 SAMPLE = 20_000
 CANDIDATES = 2_000
@@ -359,16 +359,28 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     from pyspark.sql.types import DoubleType, StructField, StructType
 
     rest = docs.select(*[c for c in docs.columns if c != "toxicity"])
-    source = rest.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
+    own = fresh("toxic_text", rest.columns)
+    source = rest.withColumn(own, F.coalesce(F.col("text").cast("string"), F.lit("")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "__text"):
-            score = 1 / (1 + np.exp(-np.clip(features(model, batch.column("__text")) @ model.beta, -30, 30)))
+        for batch in chunks(batches, own):
+            score = 1 / (1 + np.exp(-np.clip(features(model, batch.column(own)) @ model.beta, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], schema=pa.schema([*list(batch.schema)[:-1], pa.field("toxicity", pa.float64())]))
 
     return source.mapInArrow(run, StructType([*rest.schema.fields, StructField("toxicity", DoubleType())]))
 
 
+def kept(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows whose score is below the limit, with all their columns as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            score = 1 / (1 + np.exp(-np.clip(features(model, batch.column("text")) @ model.beta, -30, 30)))
+            yield batch.filter(pa.array(score < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(key: str = "doc_id", folds: int = 5):
     """The remainder of a document's CRC-32; a null key has remainder 1, so it is never held out."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % folds, F.lit(1))
