@@ -82,15 +82,16 @@ class Automaton:
         while len(live):
             state = self.move[state, letter[at]]
             at = at + 1
-            whole, over = self.opened[state] >= 0, at == ends[live]
+            whole, over = self.opened[state] >= 0, at == ends[live]  # a stem with edits may yet turn out to be exact
             found.append((live[whole], self.opened[state[whole]], self.edits[state[whole]]))
             done = over & ~whole & (self.closed[state] >= 0)
             found.append((live[done], self.closed[state[done]], self.edits[state[done]]))
-            on = (state > 0) & ~whole & ~over
+            on = (state > 0) & ~over & ~(whole & (self.edits[state] == 0))
             live, state, at = live[on], state[on], at[on]
         hit, term, edits = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ([], [], [])))
-        order = np.argsort(hit, kind="stable")
-        return hit[order], term[order], edits[order]
+        order = np.lexsort((edits, hit))
+        best = order[np.diff(hit[order], prepend=-1) != 0]
+        return hit[best], term[best], edits[best]
 
 
 def automaton(terms: list[tuple[str, bool]]) -> Automaton:
@@ -137,7 +138,7 @@ def automaton(terms: list[tuple[str, bool]]) -> Automaton:
         opened.append(stem[1])
         edits.append(stem[0] if stem[1] >= 0 else whole[0])
         row = []
-        for letter in [0, *alphabet] if here and stem[1] < 0 else []:
+        for letter in [0, *alphabet] if here and (stem[1] < 0 or stem[0] > 0) else []:
             after: dict[int, int] = {}
             for node, spent in here:
                 steps = [(child, spent + (c != letter)) for c, child in children[node].items()] + [(node, spent + 1)]
