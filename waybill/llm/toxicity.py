@@ -10,7 +10,7 @@
    further hits for abuse. A logistic regression over the document's sums of both gives the score.
 
 Labels, languages and sources are no inputs of a score. Null and empty texts score as a document without a hit does. Rows may
-repeat; each gets its score. Without labels of both kinds every score is the share of toxic labels (0 without any).
+repeat; each gets its score. Without labels of both kinds nothing can be learned, and every score is 0.
 """
 
 from __future__ import annotations
@@ -303,7 +303,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, terms: int =
     bad, good = kinds.get(True, 0), kinds.get(False, 0)
     model = Model()
     if not bad or not good:
-        model.beta[0] = 30.0 if bad else -30.0
+        model.beta[0] = -30.0
         return model
     least = max(3, bad // 200)
     odds = ((F.col("bad") + 0.5) / (bad + 1)) / ((F.col("good") + 0.5) / (good + 1))
