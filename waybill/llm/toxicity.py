@@ -372,12 +372,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def kept(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
-    """The rows whose score is below the limit, with all their columns as they are."""
+    """The rows whose score is below the limit, with all their columns as they are; a row without a hit is never rejected."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            score = 1 / (1 + np.exp(-np.clip(features(model, batch.column("text")) @ model.beta, -30, 30)))
-            yield batch.filter(pa.array(score < limit))
+            x = features(model, batch.column("text"))
+            score = 1 / (1 + np.exp(-np.clip(x @ model.beta, -30, 30)))
+            yield batch.filter(pa.array((score < limit) | ~x[:, 1:].any(axis=1)))
 
     return docs.mapInArrow(run, docs.schema)
 
