@@ -31,6 +31,8 @@ from waybill.llm.text import chunks, hash_spans, lower_ascii, mix, spans, utf8
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 4, 7
 SLACK = 2  # words that start and length of an aligned window may be off
+#: (shift of the start, change of the length), the nearest first.
+WINDOWS = sorted(((a, b) for a in range(-SLACK, SLACK + 1) for b in range(-SLACK, SLACK + 1)), key=lambda x: (abs(x[0]) + abs(x[1]), x))
 ITEMS = 20_000
 CHUNK = 1 << 20
 
@@ -90,6 +92,14 @@ def similarity(a: dict, b: dict) -> float:
     return both / total if total else 0.0
 
 
+def held(item: dict, words: np.ndarray) -> float:
+    """The share of the item's weight that the words hold: no window in them is more similar than that."""
+    own = words.tolist()
+    n = len(next(iter(item)))
+    times = Counter(s for s in zip(*[own[k:] for k in range(n)], strict=False) if s in item)
+    return sum(min(k, item[s][0]) * item[s][1] for s, k in times.items()) / sum(k * w for k, w in item.values())
+
+
 def index(items: list[tuple[object, str]]) -> Index:
     """items: (item_id, text). Words of few items weigh more."""
     hashes, _, _, first = item_words(*utf8(pa.array([t or "" for _, t in items], pa.string())))
@@ -147,12 +157,20 @@ def matches(found: Index, column: pa.Array) -> list[tuple[int, int, float, int,
             if (w - offset, item) in seen:
                 continue
             seen.add((w - offset, item))
+            if best.get((r, item), (0.0,))[0] == 1 and first[r] - best[r, item][1] <= w - offset + SLACK:
+                continue
             low, high, n = int(first[r]), int(first[r + 1]), len(found.words[item])
-            for start in range(max(low, w - offset - SLACK), min(high, w - offset + SLACK) + 1):
-                for end in range(start + max(1, n - SLACK), min(high, start + n + SLACK) + 1):
-                    alike = similarity(found.bags[item], bag(hashes[start:end], found.weight, found.rare))
-                    if alike >= SIMILARITY and (alike, low - start, start - end) > best.get((r, item), (0.0, 0, 0)):
-                        best[r, item] = (alike, low - start, start - end)
+            if held(found.bags[item], hashes[max(low, w - offset - SLACK) : min(high, w - offset + n + 2 * SLACK)]) < SIMILARITY:
+                continue
+            for shift, more in WINDOWS:
+                start, end = w - offset + shift, w - offset + shift + n + more
+                if start < low or end > high or end <= start:
+                    continue
+                alike = similarity(found.bags[item], bag(hashes[start:end], found.weight, found.rare))
+                if alike >= SIMILARITY and (alike, low - start, start - end) > best.get((r, item), (0.0, 0, 0)):
+                    best[r, item] = (alike, low - start, start - end)
+                if alike == 1:
+                    break
     return [(r, item, alike, -start, -n) for (r, item), (alike, start, n) in sorted(best.items())]
 
 
