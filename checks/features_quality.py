@@ -160,9 +160,10 @@ def dataset_fingerprint(v: Views):
 
 @query(
     "dataset_content_hash",
-    """SELECT count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substr(md5(concat_ws('|', CAST(accident_history AS VARCHAR),
+    """SELECT count(*) AS n_rows, CAST(sum(CAST(CAST('0x' || substr(md5(list_aggregate(list_transform([CAST(accident_history AS VARCHAR),
     CAST(CAST(round(accident_risk, 6) AS DECIMAL(38, 6)) AS VARCHAR), CAST(driver_id AS VARCHAR), CAST(experience_years AS VARCHAR),
-    region, vehicle_type, CAST(CAST(round(weather_sensitivity, 6) AS DECIMAL(38, 6)) AS VARCHAR))), 1, 15) AS BIGINT) AS HUGEINT))
+    region, vehicle_type, CAST(CAST(round(weather_sensitivity, 6) AS DECIMAL(38, 6)) AS VARCHAR)],
+    lambda x: coalesce(length(x) || ':' || x, 'null')), 'string_agg', '|')), 1, 15) AS BIGINT) AS HUGEINT))
   AS VARCHAR) AS content_hash FROM drivers""",
 )
 def dataset_content_hash(v: Views):

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.views import SparkViews, with_views
-from waybill.session import prepare
+from waybill.session import CHECKPOINT_SETTING, prepare
 
 Views = SparkViews
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def with_folder(spark: SparkSession) -> SparkSession:
+    """Name a shared folder for a session on one machine that has none."""
+    if not spark.conf.get(CHECKPOINT_SETTING, None) and not spark.sparkContext.getCheckpointDir():
+        if spark.sparkContext.master.startswith("local"):
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shared-"))
+    return spark
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(views)`` under a name, with its SQL counterpart when SQL can say it."""
 
     def register(fn: Callable[[Views], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(SparkViews(prepare(spark), sf_dir))
+            return fn(SparkViews(with_folder(prepare(spark)), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -36,7 +45,7 @@ def query_on_files(name: str, sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(spark, sf_dir, SparkViews(prepare(spark), sf_dir))
+            return fn(spark, sf_dir, SparkViews(with_folder(prepare(spark)), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

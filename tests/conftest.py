@@ -7,7 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from waybill.session import prepare
@@ -22,6 +22,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield prepare(session)
 
 

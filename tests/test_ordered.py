@@ -21,10 +21,7 @@ def skewed_rows(n=400, seed=1, low=-500, high=2000):
 @pytest.fixture(params=["plain slices", "busy slices cut again"])
 def splitting(request, monkeypatch):
     if request.param != "plain slices":
-        monkeypatch.setattr(ordered, "SMALL_INPUT_BYTES", 0)
-        monkeypatch.setattr(ordered, "HOT_ROWS", 10)
-        monkeypatch.setattr(ordered, "HOT_PARTS", 5)
-        monkeypatch.setattr(ordered, "HOT_SLICES", 3)
+        monkeypatch.setattr(ordered, "PART_ROWS", 3)
 
 
 @pytest.mark.parametrize("width", [1, 100, 10_000])
@@ -79,20 +76,31 @@ def test_history_against_brute_force(spark):
         assert got[i] == (len(past), pytest.approx(ratio) if past else None)
 
 
-def test_slices_sort_like_rows_and_bound_a_hot_hour(spark, monkeypatch):
-    """A third of the rows in one hour of one key: no slice keeps them together."""
-    monkeypatch.setattr(ordered, "SMALL_INPUT_BYTES", 0)
-    monkeypatch.setattr(ordered, "HOT_ROWS", 100)
+def test_parts_bound_a_hot_hour(spark, monkeypatch):
+    """A third of the rows in one hour of one key: no part keeps them together, and no carry window is long."""
+    monkeypatch.setattr(ordered, "PART_ROWS", 100)
     hour = 3_600_000_000
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"),
         F.when(F.col("id") % 3 == 0, 5 * hour + F.col("id") * 1_000_000).otherwise(F.col("id") * hour).alias("t"),
     )
     sliced = ordered.with_slices(df, ["k"], F.col("t"), hour)
-    assert sliced.groupBy("k", ordered.SLICE).count().agg(F.max("count")).first()[0] == 1
+    assert sliced.groupBy("k", ordered.SLICE, ordered.PART).count().agg(F.max("count")).first()[0] <= 100
+    parts = sliced.groupBy("k", ordered.SLICE).agg(F.count_distinct(ordered.PART).alias("n"))
+    assert parts.agg(F.max("n")).first()[0] <= 4 * 1000 / 100 + 1
     assert sliced.where(F.col(ordered.SLICE) > F.col("t")).count() == 0
 
 
+def test_one_key_with_all_rows(spark, monkeypatch):
+    """Windows over summaries see as many rows as a slice has parts, or a key has slices, whatever the rows."""
+    monkeypatch.setattr(ordered, "PART_ROWS", 50)
+    df = spark.range(4000).select(F.lit("k").alias("k"), (F.col("id") * 7919 % 4000).alias("t"), F.lit(1).alias("one"))
+    out = ordered.running_before(df, ["k"], "t", {"n": ("sum", "one")}, width=1000)
+    assert out.where(F.coalesce("n", F.lit(0)) != F.col("t")).count() == 0
+    parts = ordered.with_slices(df, ["k"], F.col("t"), 1000).select(ordered.SLICE, ordered.PART).distinct()
+    assert parts.groupBy(ordered.SLICE).count().agg(F.max("count")).first()[0] <= 81
+
+
 def test_history_boundaries(spark):
     day90 = timedelta(days=90)
     micro = timedelta(microseconds=1)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -144,3 +144,10 @@ def partition_path(ts: Column | str, depth: str = "year/month/day") -> Column:
     """Partition path text such as ``year=2024/month=01/day=15``."""
     pattern = "/".join(f"'{level}='{DATE_LEVELS[level]}" for level in date_levels(depth))
     return F.date_format(col(ts), pattern) if pattern else F.lit("")
+
+
+def instant(at: datetime | str) -> Column:
+    """A moment as a literal; without a zone it is UTC, wherever the driver runs. A text is read in the session's zone."""
+    if isinstance(at, str):
+        return F.lit(at).cast("timestamp")
+    return F.lit(at if at.tzinfo else at.replace(tzinfo=timezone.utc)).cast("timestamp")

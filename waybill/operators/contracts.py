@@ -53,7 +53,9 @@ def tagged(df: DataFrame, schema: T.StructType, required: list[str]) -> DataFram
         if name in required:
             faults.append(F.when(value.isNull(), F.lit(f"no {name}")))
         casts.append(value.alias(name))
-    reason = F.coalesce(*faults) if faults else F.lit(None).cast("string")
+    known = [F.col(REASON)] if REASON in df.columns else []  # a stream has tagged what it could not read
+    casts = [c for c, name in zip(casts, df.columns, strict=True) if name != REASON]
+    reason = F.coalesce(*known, *faults) if known or faults else F.lit(None).cast("string")
     return df.select(*casts, reason.alias(REASON))
 
 

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 def first_arrival(df: DataFrame, key: str, arrival: str, order: list[str] | None = None) -> DataFrame:
     """Keep the first arrived row of every key.
 
-    Ties on ``arrival`` are settled by ``order`` and then by all other columns, so the survivor
-    does not depend on partitioning or replay. ``row_number() = 1`` lets Spark put a group limit
+    Ties on ``arrival`` are settled by ``order`` and then by all other columns, nulls last,
+    so the survivor does not depend on partitioning or replay. ``row_number() = 1`` lets Spark put a group limit
     in front of the shuffle: each map task sends at most one row per key, however many copies
     a key has.
     """
     first = [arrival, *(order or [])]
     ranking = first + [c for c in df.columns if c not in first and c != key]
-    copies = Window.partitionBy(key).orderBy(*ranking)
+    copies = Window.partitionBy(key).orderBy(*(F.col(c).asc_nulls_last() for c in ranking))
     return df.withColumn("rn", F.row_number().over(copies)).where("rn = 1").drop("rn")
 
 
@@ -44,15 +44,15 @@ def dedup_summary(df: DataFrame, key: str, dataset: str) -> DataFrame:
 def content_dedup(df: DataFrame, content: list[str], key: str) -> DataFrame:
     """One row per content, the one with the smallest id; copies meet in a map-side combine."""
     rest = [c for c in df.columns if c not in content and c != key]
-    kept = df.groupBy(*content).agg(
-        F.min(key).alias(key), *(F.min_by(c, key).alias(c) for c in rest)
-    )
-    return kept.select(*df.columns)
+    # a whole row is compared, so equal ids settle on one row and rows without id come last
+    kept = df.groupBy(*content).agg(F.min(F.struct(F.col(key).isNull().alias("__last"), key, *rest)).alias("__first"))
+    return kept.select(*content, "__first.*").select(*df.columns)
 
 
 def not_yet_in(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    """New rows whose key the existing table lacks; ``new`` should hold one row per key."""
-    return new.join(existing.select(key), key, "left_anti")
+    """New rows whose key the existing table lacks, null being a key; ``new`` should hold one row per key."""
+    known = existing.select(F.col(key).alias("__known")).distinct()
+    return new.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
 
 
 def merge_first_arrivals(silver: DataFrame, batch: DataFrame, key: str, arrival: str) -> DataFrame:

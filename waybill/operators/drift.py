@@ -9,13 +9,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ALPHA = 0.05
-SLICES = 256
+# values that one slice should hold at most, and the slices of a small sample
+SLICE_ROWS = 1_000_000
+LEAST_SLICES = 256
 # terms of the Kolmogorov series; they fall like exp(-2 k^2 lambda^2)
 _TERMS = 100
 # below this lambda the series has not converged and the probability is 1 to 10 digits
 _FLAT_LAMBDA = 0.2
 
 
+NO_STATISTICS = (
+    "column string, ks_statistic double, current_rows long, baseline_rows long, baseline_mean double, "
+    "current_mean double, baseline_std double, current_std double"
+)
+
+
 def _boundaries(both: DataFrame, columns: list[str], slices: int) -> dict[str, list[float]]:
     """Approximate quantiles of each column as fixed slice boundaries (bounded: slices per column)."""
     shares = [i / slices for i in range(1, slices)]
@@ -25,17 +33,20 @@ def _boundaries(both: DataFrame, columns: list[str], slices: int) -> dict[str, l
     }
 
 
-def ks_statistics(current: DataFrame, baseline: DataFrame, columns: list[str], slices: int = SLICES) -> DataFrame:
+def ks_statistics(current: DataFrame, baseline: DataFrame, columns: list[str], slices: int | None = None) -> DataFrame:
     """Per column: largest distance of the two empirical distributions, sizes, means, deviations.
 
     Values are counted per (column, value) before any ordering, cut into value slices at fixed
     quantile boundaries, and accumulated inside a slice on top of the totals of the slices
-    before it. There are at most ``slices`` totals per column, so those are broadcast.
+    before it. The slices grow with the rows, SLICE_ROWS each; their totals are one row a slice.
     """
     columns = [c for c in columns if c in current.columns and c in baseline.columns]
+    if not columns:  # nothing to compare, nothing drifted
+        return current.sparkSession.createDataFrame([], NO_STATISTICS)
     clean = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
     both = current.select(*clean, F.lit(1).alias("__cur")).unionAll(baseline.select(*clean, F.lit(0).alias("__cur")))
 
+    slices = slices or LEAST_SLICES + both.count() // SLICE_ROWS
     bounds = _boundaries(both, columns, slices)
     sliced = Bucketizer(
         splitsArray=[bounds[c] if len(bounds[c]) > 2 else [-math.inf, 0.0, math.inf] for c in columns],
@@ -90,7 +101,7 @@ def ks_statistics(current: DataFrame, baseline: DataFrame, columns: list[str], s
     )
     two_sided = moments.where("current_rows > 0 AND baseline_rows > 0")
     return (
-        steps.join(F.broadcast(carried), ["column", "slice"])
+        steps.join(carried, ["column", "slice"])
         .join(F.broadcast(two_sided.select("column", "current_rows", "baseline_rows")), "column")
         .groupBy("column")
         .agg(F.max(distance).alias("ks_statistic"))

@@ -1,13 +1,13 @@
 """Ordered computations per key that stay parallel when one key holds much of the data.
 
 A plain ``Window.partitionBy(key).orderBy(time)`` puts a whole key into one task. Here every key
-is cut into slices of its order axis (an hour, a value range), and busy slices once more. Three
-steps, each bounded by the slice and not by the key:
+is cut into slices of its order axis (an hour, a value range), and a slice with many rows into as
+many parts as its count asks for. Four steps, none of which sees the rows of a whole key:
 
-1. summarise every (key, slice) - a map-side combined aggregation;
-2. carry the summaries across the slices of a key - a window over summaries only, whose number
-   per key is the number of slices, not of rows;
-3. put one carry row in front of every slice and run the window inside the slice.
+1. summarise every (key, slice, part) - a map-side combined aggregation;
+2. carry the parts' summaries across their slice - a window of at most as many rows as parts;
+3. carry the slices' totals across their key - a window of at most as many rows as slices;
+4. put one carry row in front of every part and run the window inside the part.
 
 The carry row travels in the same shuffle as the rows it precedes, so step 3 needs no join.
 """
@@ -17,51 +17,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.session import input_bytes
-
 SLICE = "__slice"
+PART = "__part"
 CARRY = "__carry"
 # sorts before every position that can occur, and leaves room for a frame offset of one
 BEFORE_ALL = -(1 << 62)
 
 COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
 
-# A slice with more rows than this may be cut again, into this many parts; at most so many slices.
-# Whatever lies beyond the busiest HOT_SLICES has less than 1 / HOT_SLICES of all rows.
-# Below the input size no slice can be too much for a task, and the counting pass is saved.
-SMALL_INPUT_BYTES = 1 << 30
-HOT_ROWS = 100_000
-HOT_PARTS = 3_600_000
-HOT_SLICES = 1000
+# A slice with more rows than this is cut into four parts for each PART_ROWS rows it has.
+PART_ROWS = 100_000
 
 
 def with_slices(rows: DataFrame, keys: list[str], position: Column, width: int) -> DataFrame:
-    """Add the slice of each row: the start of its ``width`` on the order axis.
+    """Add the slice of each row, the start of its ``width`` on the order axis, and its part.
 
-    The busiest slices, should a third of the rows lie in one hour of one key, are cut finer. A
-    finer slice starts inside the one it came from, so slices still sort like their rows.
+    The parts of a slice follow from its count alone, so the plan is one and the same at every size.
     """
-
-    def cut(step: int) -> Column:
-        return (position - F.pmod(position, F.lit(step))).cast("long")
-
-    coarse = rows.withColumn(SLICE, cut(width))
-    fine = max(1, width // HOT_PARTS)
-    if fine == width or input_bytes(rows) < SMALL_INPUT_BYTES:
-        return coarse
-    busiest = (
+    coarse = rows.withColumn(SLICE, (position - F.pmod(position, F.lit(width))).cast("long"))
+    busy = (
         coarse.groupBy(*keys, SLICE)
         .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > HOT_ROWS)
-        .orderBy(F.desc("__n"))
-        .limit(HOT_SLICES)
-        .select(*keys, SLICE, F.lit(True).alias("__hot"))
-    )
-    return (
-        coarse.join(F.broadcast(busiest), [*keys, SLICE], "left")
-        .withColumn(SLICE, F.when(F.col("__hot"), cut(fine)).otherwise(F.col(SLICE)))
-        .drop("__hot")
+        .where(F.col("__n") > PART_ROWS)
+        .select(*keys, SLICE, F.greatest(F.lit(1), F.ceil(F.lit(float(width) * PART_ROWS / 4) / F.col("__n"))).cast("long").alias("__step"))
     )
+    inside = F.floor(F.pmod(position, F.lit(width)) / F.col("__step")).cast("long")
+    return coarse.join(busy, [*keys, SLICE], "left").withColumn(PART, F.coalesce(inside, F.lit(0))).drop("__step")
+
+
+def _joined(how: str, a: Column, b: Column) -> Column:
+    """Two carries as one; a null is no carry."""
+    if how == "sum":
+        return F.coalesce(a + b, a, b)
+    return (F.greatest if how == "max" else F.least)(a, b)
 
 
 def running_before(
@@ -80,15 +68,26 @@ def running_before(
     """
     sliced = with_slices(rows, keys, F.col(position), width)
 
-    summaries = sliced.groupBy(*keys, SLICE).agg(
+    summaries = sliced.groupBy(*keys, SLICE, PART).agg(
         *(COMBINE[how](value).alias(name) for name, (how, value) in measures.items())
     )
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carries = summaries.select(
+    totals = summaries.groupBy(*keys, SLICE).agg(*(COMBINE[how](name).alias(name) for name, (how, _) in measures.items()))
+
+    def before(table: DataFrame, by: list[str], order: str, prefix: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return table.select(
+            *by, order, *(COMBINE[how](name).over(earlier).alias(prefix + name) for name, (how, _) in measures.items())
+        )
+
+    across = before(summaries, [*keys, SLICE], PART, "__parts_").join(
+        before(totals, keys, SLICE, "__slices_"), [*keys, SLICE]
+    )
+    carries = across.select(
         *keys,
         SLICE,
+        PART,
         F.lit(BEFORE_ALL).alias(position),
-        *(COMBINE[how](name).over(earlier).alias(f"__in_{name}") for name, (how, _) in measures.items()),
+        *(_joined(how, F.col(f"__parts_{name}"), F.col(f"__slices_{name}")).alias(f"__in_{name}") for name, (how, _) in measures.items()),
         F.lit(True).alias(CARRY),
     ).where(" OR ".join(f"`__in_{name}` IS NOT NULL" for name in measures))
 
@@ -100,7 +99,7 @@ def running_before(
     )
     upto = Window.currentRow if inclusive else -1
     inside = (
-        Window.partitionBy(*keys, SLICE).orderBy(position).rangeBetween(Window.unboundedPreceding, upto)
+        Window.partitionBy(*keys, SLICE, PART).orderBy(position).rangeBetween(Window.unboundedPreceding, upto)
     )
     stacked = numbered.unionByName(carries, allowMissingColumns=True)
     return (
@@ -133,11 +132,18 @@ def neighbour(
     place = F.struct(*order)
     packed = F.struct(*(F.col(c).alias(c) for c in sources))
     pick = F.min_by if following else F.max_by
-    summaries = sliced.groupBy(*keys, SLICE).agg(pick(packed, place).alias("__edge"))
-    across = Window.partitionBy(*keys).orderBy(SLICE)
+    summaries = sliced.groupBy(*keys, SLICE, PART).agg(pick(packed, place).alias("__edge"))
+    totals = summaries.groupBy(*keys, SLICE).agg(pick("__edge", PART).alias("__edge"))
     step = F.lead if following else F.lag
+    parts = summaries.select(
+        *keys, SLICE, PART, step("__edge").over(Window.partitionBy(*keys, SLICE).orderBy(PART)).alias("__part_edge")
+    )
+    slices = totals.select(
+        *keys, SLICE, step("__edge").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("__slice_edge")
+    )
     carries = (
-        summaries.select(*keys, SLICE, step("__edge").over(across).alias("__edge"))
+        parts.join(slices, [*keys, SLICE])
+        .select(*keys, SLICE, PART, F.coalesce("__part_edge", "__slice_edge").alias("__edge"))
         .where(F.col("__edge").isNotNull())
         .withColumn(CARRY, F.lit(True))
     )
@@ -145,7 +151,7 @@ def neighbour(
         carries, allowMissingColumns=True
     )
     edge_first = F.col(CARRY).asc() if following else F.col(CARRY).desc()
-    inside = Window.partitionBy(*keys, SLICE).orderBy(edge_first, *order)
+    inside = Window.partitionBy(*keys, SLICE, PART).orderBy(edge_first, *order)
     return (
         stacked.withColumn("__near", step("__edge").over(inside))
         .where(~F.col(CARRY))

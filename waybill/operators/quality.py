@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.timing import delivered_at, is_late, relative_variance
+from waybill.functions.timing import delivered_at, instant, is_late, relative_variance
 from waybill.schemas import FRESHNESS_HOURS, LATE_RATIO_THRESHOLD, LINEAGE_VARIANCE, NULL_THRESHOLD
 
 PASS, WARN, FAIL, SKIPPED = "PASS", "WARN", "FAIL", "skipped"
@@ -139,7 +139,7 @@ def freshness(
             empty, "data_freshness", stage, F.lit(SKIPPED), F.lit(None), max_age_hours, F.lit("no timestamp data")
         )
     newest = df.agg(F.max(F.col(ts).cast("timestamp")).alias("t"))
-    age = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros("t")) / F.lit(3_600_000_000.0)
+    age = (F.unix_micros(instant(now)) - F.unix_micros("t")) / F.lit(3_600_000_000.0)
     status = F.when(age.isNull(), SKIPPED).when(age <= max_age_hours, PASS).otherwise(WARN)
     message = F.coalesce(F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("no timestamp data"))
     return _result(newest, "data_freshness", stage, status, age, max_age_hours, message)
@@ -148,7 +148,7 @@ def freshness(
 def report(checks: list[DataFrame], at: datetime | None = None) -> DataFrame:
     """All check rows in one table, with the time of the checks when given."""
     rows = reduce(DataFrame.unionByName, checks)
-    return rows if at is None else rows.withColumn("timestamp", F.lit(at).cast("timestamp"))
+    return rows if at is None else rows.withColumn("timestamp", instant(at))
 
 
 def summary(checks: DataFrame) -> DataFrame:

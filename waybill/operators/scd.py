@@ -19,16 +19,18 @@ def _same(names: list[str], prefix: str):
     return same
 
 
-def build_history(changes: DataFrame, key: str, attributes: list[str], change_ts: str) -> DataFrame:
+def build_history(
+    changes: DataFrame, key: str, attributes: list[str], change_ts: str, rank: str | None = None
+) -> DataFrame:
     """Versions of every key: changes in time order without no-ops, each open until the next.
 
-    At one instant the largest attribute values win. Days cut the time axis, so a key with very
+    At one instant the largest ``rank`` wins, then the largest attribute values. Days cut the time axis, so a key with very
     many changes is spread over its days. Both neighbour steps read their input twice, so it is
     written once instead of being computed again.
     """
     dated = changes.where(F.col(key).isNotNull() & F.col(change_ts).isNotNull()).groupBy(key, change_ts).agg(
-        F.max(F.struct(*attributes)).alias("__attributes")
-    ).select(key, change_ts, "__attributes.*")
+        F.max(F.struct(*([rank] if rank else []), *attributes)).alias("__attributes")
+    ).select(key, change_ts, *(f"__attributes.{a}" for a in attributes))
     dated = materialize(dated, "scd-changes")
     compared = neighbour(
         dated,
@@ -52,12 +54,12 @@ def upsert(dimension: DataFrame, updates: DataFrame, key: str, attributes: list[
     """Rebuild the dimension from its own versions and the updates.
 
     Late changes fall into their place, repeated ones vanish as no-ops, and keys without updates
-    stay as they are, so running an upsert twice changes nothing.
+    stay as they are, so running an upsert twice changes nothing. An update at the instant of a
+    version corrects it.
     """
-    known = dimension.select(key, *attributes, F.col(EFFECTIVE).alias(change_ts))
-    return build_history(
-        known.unionByName(updates.select(key, *attributes, change_ts)), key, attributes, change_ts
-    )
+    known = dimension.select(key, *attributes, F.col(EFFECTIVE).alias(change_ts), F.lit(0).alias("__rank"))
+    corrections = updates.select(key, *attributes, change_ts, F.lit(1).alias("__rank"))
+    return build_history(known.unionByName(corrections), key, attributes, change_ts, "__rank")
 
 
 def upsert_summary(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

@@ -6,8 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from waybill.functions.timing import partition_path, run_id
+from waybill.functions.timing import instant, partition_path, run_id
 from waybill.operators.contracts import REASON
 from waybill.schemas import DATASETS
 from waybill.sources.readers import CORRUPT, read_jsonl
@@ -36,12 +37,18 @@ def with_ingestion(df: DataFrame, at: datetime) -> DataFrame:
     """One ingestion time and run id for the whole run."""
     return df.withColumns(
         {
-            "ingestion_timestamp": F.lit(at).cast("timestamp"),
+            "ingestion_timestamp": instant(at),
             "ingestion_id": F.lit(run_id(at)),
         }
     )
 
 
+def bronze_schema(dataset: str) -> T.StructType:
+    """The dataset's columns and the ingestion's."""
+    own = [T.StructField("ingestion_timestamp", T.TimestampType()), T.StructField("ingestion_id", T.StringType())]
+    return T.StructType([*DATASETS[dataset].fields, *own])
+
+
 def split_corrupt(rows: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
     """Readable rows with a partition date, and the others with their reason."""
     reason = F.when(F.col(CORRUPT).isNotNull(), "malformed record").when(F.col(ts).isNull(), f"no {ts}")

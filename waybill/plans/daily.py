@@ -15,10 +15,11 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.functions.digests import dataset_fingerprint
-from waybill.functions.timing import run_id
+from waybill.functions.digests import content_hash
+from waybill.functions.timing import instant, run_id
 from waybill.ml import forest, models
 from waybill.operators import dedup, quality
+from waybill.operators.contracts import accepted
 from waybill.operators.drift import drift_result, feature_drift
 from waybill.plans import bronze, features, gold, silver
 from waybill.schemas import DATASETS, RETENTION_DAYS
@@ -55,7 +56,9 @@ def ingest_all(spark: SparkSession, landing: str, lake: Lake, at: datetime) -> d
     """``landing/<dataset>`` of every dataset into bronze."""
     return {
         name: readers.read_layer(
-            spark, bronze.ingest_jsonl(spark, name, f"{landing}/{name}", lake.base, at, lake.quarantine)
+            spark,
+            bronze.ingest_jsonl(spark, name, f"{landing}/{name}", lake.base, at, lake.quarantine),
+            schema=bronze.bronze_schema(name),
         ).drop("year", "month", "day")
         for name in DATASETS
     }
@@ -71,7 +74,7 @@ def build_silver(spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, run
     for name, rows in tagged.items():
         writers.write_quarantine(silver.quarantine(rows, f"silver_{name}"), lake.quarantine, run)
     built = {
-        "gps_events": silver.gps_events(raw["gps_events"].where("event_id IS NOT NULL AND event_timestamp IS NOT NULL")),
+        "gps_events": silver.gps_events(accepted(tagged["gps_events"])),
         "orders": silver.orders(raw["orders"]),
         "weather": silver.weather(raw["weather_events"]),
     }
@@ -104,8 +107,8 @@ def build_gold(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) ->
 def build_features(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) -> dict[str, tuple[DataFrame, str]]:
     """Feature snapshots, each with its dataset hash.
 
-    The hash is part of the path and needs the row count first, so the rows are computed once
-    into the work folder and copied from there.
+    The hash of the content is part of the path, so different tables of one size never meet; it
+    needs all rows first, so they are computed once into the work folder and copied from there.
     """
     built = {
         "delay_model_features_v1": features.delay_features(tables["orders"], tables["drivers"], tables["weather"]),
@@ -115,7 +118,7 @@ def build_features(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake
     snapshots = {}
     for name, plan in built.items():
         table = materialize(plan, name)
-        digest = dataset_fingerprint(table).first()["dataset_hash"]
+        digest = content_hash(table).first()["content_hash"]
         snapshots[name] = (spark.read.parquet(writers.write_features(table, lake.features, name, digest)), digest)
     return snapshots
 
@@ -155,7 +158,7 @@ def check_quality(
     )
     counts = quality.stage_counts({"bronze_gps_events": raw["gps_events"], "silver_gps_events": gps, "gold_deliveries": built["deliveries"]})
     writers.append_log(
-        counts.select("stage", F.col("stage").alias("dataset"), "row_count", F.lit(now).cast("timestamp").alias("record_timestamp")),
+        counts.select("stage", F.col("stage").alias("dataset"), "row_count", instant(now).alias("record_timestamp")),
         lake.logs,
         "data_lineage",
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,9 +22,6 @@ RUNTIME_SETTINGS = {
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_local_work_root: str | None = None
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session and return it."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -42,23 +38,14 @@ def build_session(app: str = "waybill", **settings: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without it: then one folder per process under the system's
-    temporary directory is used, since driver and executors are the same machine.
-    """
-    global _local_work_root
+    """The folder every executor can reach, named by ``spark.checkpoint.dir`` or set on the context."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:
         return configured.rstrip("/")
     from_context = spark.sparkContext.getCheckpointDir()
     if from_context:
         return from_context.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    if _local_work_root is None:
-        _local_work_root = tempfile.mkdtemp(prefix="waybill-")
-    return _local_work_root
+    raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -72,9 +59,3 @@ def materialize(df, label: str):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def input_bytes(df) -> int:
-    """Estimated bytes of all inputs of a plan, from Spark's statistics; nothing is run."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))

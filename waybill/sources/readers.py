@@ -16,7 +16,6 @@ CORRUPT = "_corrupt_record"
 # Kafka source settings (fixed values).
 KAFKA_GROUP = "bronze-ingestion-group"
 TOPICS = ["drivers", "orders", "gps_events", "weather_events"]
-KAFKA_BATCH_RECORDS = 1000
 
 
 def with_corrupt_column(schema: StructType) -> StructType:
@@ -50,10 +49,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def read_layer(
     spark: SparkSession, path: str, columns: list[str] | None = None,
-    since: date | None = None, until: date | None = None,
+    since: date | None = None, until: date | None = None, schema: StructType | None = None,
 ) -> DataFrame:
-    """A date-partitioned table; a date range prunes partitions before any file is opened."""
-    table = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    """A date-partitioned table; a date range prunes partitions before any file is opened.
+
+    With ``schema`` a folder without rows is an empty table.
+    """
+    reader = spark.read.option("recursiveFileLookup", "false")
+    table = (reader.schema(schema) if schema else reader).parquet(path)
     if "ingestion_id" in table.columns:
         table = table.withColumn("ingestion_id", F.col("ingestion_id").cast("string"))
     for limit in date_range(since, until):
@@ -89,19 +92,19 @@ def parse_records(raw: DataFrame, schema: StructType) -> DataFrame:
 
 
 def kafka_stream(
-    spark: SparkSession, servers: str, topic: str, max_records: int = KAFKA_BATCH_RECORDS
+    spark: SparkSession, servers: str, topic: str, max_records: int | None = None
 ) -> DataFrame:
-    """Topic as a stream of raw records, from the latest offsets, with a record cap per batch."""
-    return (
+    """Topic as a stream of raw records, from the latest offsets; ``max_records`` caps a batch."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("kafka.group.id", KAFKA_GROUP)
         .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", max_records)
-        .load()
-        .select("key", "value")
     )
+    if max_records is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_records)
+    return reader.load().select("key", "value")
 
 
 def kafka_table(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -116,7 +119,9 @@ def storage_stats(spark: SparkSession, path: str, dataset: str, glob: str | None
         reader = reader.option("pathGlobFilter", glob)
     try:
         listing = reader.load(path)
-    except AnalysisException:
+    except AnalysisException as failure:
+        if failure.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "dataset string, files long, size_bytes long, size_mb double")
     size = F.coalesce(F.sum("length"), F.lit(0)).cast("long")
     return (

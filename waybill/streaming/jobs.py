@@ -25,13 +25,16 @@ from waybill.sources.writers import DATE_COLUMNS
 WATERMARK = "15 minutes"
 HOUR = "1 hour"
 RUN_EVERY = "300 seconds"
-FILES_PER_BATCH = 1000
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: StructType, kind: str = "parquet", files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession, path: str, schema: StructType, kind: str = "parquet", files_per_batch: int | None = None
 ) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(kind).load(path)
+    """The files of a folder as a stream; ``files_per_batch`` caps a batch."""
+    reader = spark.readStream.schema(schema).format(kind)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(path)
 
 
 def bronze_rows(stream: DataFrame, ingest_date: date) -> DataFrame:
@@ -151,15 +154,16 @@ def ingest(stream: DataFrame, label: str, ingest_date: date, path: str | None =
 def start_topics(
     spark: SparkSession, servers: str, lake: str, ingest_date: date, once: bool = True, every: str = RUN_EVERY
 ) -> dict[str, StreamingQuery]:
-    """One query per Kafka topic into ``lake/raw/<topic>``, side by side.
+    """One query per Kafka topic into ``lake/raw_stream/<topic>``, side by side.
 
-    Unreadable messages stay in bronze with their ``quarantine_reason``: each message is parsed
-    once, and silver leaves them out.
+    Batch runs write below ``raw``: a folder that a stream has written shows a batch reader only the
+    stream's own files. Unreadable messages stay in bronze with their ``quarantine_reason``: each
+    message is parsed once, and silver leaves them out.
     """
     return {
         topic: start(
             bronze_rows(kafka_table(spark, servers, topic), ingest_date),
-            f"{lake}/raw/{topic}",
+            f"{lake}/raw_stream/{topic}",
             f"{lake}/checkpoints/{topic}",
             DATE_COLUMNS,
             once,
