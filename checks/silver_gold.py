@@ -232,7 +232,7 @@ def deliveries_summary(v: Views):
     "deliveries_weather",
     f"""SELECT d.* EXCLUDE (weather_impact_score), CAST(coalesce(s.score, 0) AS INT) AS weather_impact_score
 FROM ({DELIVERIES}) d LEFT JOIN (
-  SELECT order_id, least(10, 2 * max(severity)) AS score FROM orders_l o JOIN drivers USING (driver_id)
+  SELECT order_id, least(10, coalesce(2 * max(severity), 0)) AS score FROM orders_l o JOIN drivers USING (driver_id)
   JOIN weather w ON w.affected_region = region AND o.actual_delivery_minutes > 0
     AND w.start_time < {ENDED} AND w.end_time > o.created_at GROUP BY order_id) s ON d.order_id = s.order_id""",
 )
