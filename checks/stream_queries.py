@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,7 +10,12 @@ from pyspark.sql.types import StructType
 from checks.registry import Views, query_on_files
 from checks.silver_gold import ENDED, region_sql
 from checks.views import SPARK, view_sql
+from waybill.plans import bronze, silver
 from waybill.plans.bronze import partition_counts
+from waybill.plans.silver import GPS_COLUMNS
+from waybill.session import scratch_path
+from waybill.sources.readers import read_layer
+from waybill.sources.writers import write_bronze
 from waybill.streaming import jobs
 
 INGEST_DAY = date(2024, 2, 1)
@@ -36,9 +41,16 @@ def _stream(v: Views, base: str, view: str):
         batch.createOrReplaceTempView(SPARK.t(base))
 
 
+def _in_batches(v: Views, view: str, files: int = 4):
+    """A view written as several files and streamed back, one file per batch."""
+    path = scratch_path(v.spark, f"files-{view}")
+    v[view].repartition(files).write.parquet(path)
+    return jobs.file_stream(v.spark, path, v[view].schema, files_per_batch=1)
+
+
 def _topics(v: Views):
     return {
-        "drivers": _stream(v, "customer", "drivers"),
+        "drivers": _in_batches(v, "drivers"),
         "orders": _stream(v, "orders", "orders_l"),
         "gps_events": _stream(v, "events", "gps_bronze"),
         "weather_events": _stream(v, "events", "weather"),
@@ -65,6 +77,30 @@ def stream_bronze_counts(spark, sf_dir, v: Views):
     return out
 
 
+ARRIVED = ", ".join(c for c in GPS_COLUMNS if c != "ingestion_timestamp")
+
+
+@query_on_files(
+    "stream_to_silver",
+    f"""SELECT {ARRIVED} FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, event_timestamp, order_id,
+    driver_id, latitude, longitude, accuracy) AS rn
+  FROM (SELECT {ARRIVED}, 0 AS arrival FROM gps_bronze WHERE order_id % 3 = 0
+    UNION ALL SELECT {ARRIVED}, 1 FROM gps_bronze)) WHERE rn = 1""",
+)
+def stream_to_silver(spark, sf_dir, v: Views):
+    """A batch run and a stream in several batches, both in bronze; silver takes the first arrival over both."""
+    gps = v["gps_bronze"].drop("ingestion_timestamp")
+    lake = scratch_path(spark, "stream-to-silver")
+    first = bronze.with_ingestion(gps.where("order_id % 3 = 0"), datetime(2024, 2, 1))
+    write_bronze(first, f"{lake}/raw/gps_events", "event_timestamp")
+    files = f"{lake}/landing"
+    gps.repartitionByRange(3, "event_id").write.parquet(files)
+    stream = jobs.file_stream(spark, files, gps.schema, files_per_batch=1)
+    jobs.start_bronze(stream, f"{lake}/raw_stream/gps_events", f"{lake}/checkpoint").awaitTermination()
+    both = read_layer(spark, f"{lake}/raw/gps_events").unionByName(read_layer(spark, f"{lake}/raw_stream/gps_events"))
+    return silver.gps_events(both).select(*[c for c in GPS_COLUMNS if c != "ingestion_timestamp"])
+
+
 @query_on_files("stream_dedup", "SELECT DISTINCT event_id FROM gps_bronze")
 def stream_dedup(spark, sf_dir, v: Views):
     run = jobs.drain(jobs.dedup(_stream(v, "events", "gps_bronze")), "stream-dedup")
@@ -109,9 +145,9 @@ def stream_enriched(spark, sf_dir, v: Views):
 @query_on_files(
     "stream_ingest_stats",
     """SELECT 'orders' AS topic, count(*) AS total_records, CAST(0 AS BIGINT) AS errors FROM orders
-UNION ALL SELECT 'gps_events', count(*), 0 FROM events""",
+UNION ALL SELECT 'gps_events', count(*), 0 FROM events UNION ALL SELECT 'weather_events', count(*), 0 FROM events
+UNION ALL SELECT 'drivers', count(*), 0 FROM drivers""",
 )
 def stream_ingest_stats(spark, sf_dir, v: Views):
-    topics = _topics(v)
-    runs = {t: jobs.ingest(topics[t], f"stats-{t}", INGEST_DAY) for t in ("orders", "gps_events")}
+    runs = {t: jobs.ingest(stream, f"stats-{t}", INGEST_DAY) for t, stream in _topics(v).items()}
     return jobs.ingest_stats(spark, runs).select("topic", "total_records", "errors")

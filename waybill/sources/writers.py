@@ -6,7 +6,7 @@ date that holds much of the data over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.timing import date_levels, with_date_levels
@@ -23,7 +23,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_bronze(df: DataFrame, path: str, ts: str) -> None:
+def write_bronze(df: DataFrame, path: str, ts: Column | str) -> None:
     """Append one run's rows below year/month/day/ingestion_id.
 
     The run id is a partition of its own: other runs of the same day are untouched, and a

@@ -7,7 +7,7 @@ there and stops. Files, Kafka topics and tests share the same transformations.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from waybill.functions.geo import assign_region
-from waybill.functions.timing import delivered_at, is_late, with_date_levels
+from waybill.functions.timing import delivered_at, instant, is_late, with_date_levels
 from waybill.plans.bronze import stream_date_column
 from waybill.session import scratch_path
 from waybill.sources.readers import TOPICS, kafka_table
-from waybill.sources.writers import DATE_COLUMNS
+from waybill.sources.writers import DATE_COLUMNS, write_bronze
 
 # Lateness allowed, hourly windows, pause between runs.
 WATERMARK = "15 minutes"
@@ -112,6 +112,25 @@ def start(
     return writer.start(path)
 
 
+def start_bronze(
+    stream: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = RUN_EVERY
+) -> StreamingQuery:
+    """Append a stream to bronze as a batch run would: each batch has one moment and one id of its
+    own, and a batch that is repeated replaces its own files. Records without a date fall under the
+    day their batch was written."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        at = datetime.now(timezone.utc)
+        rows = batch.withColumns({"ingestion_timestamp": instant(at), "ingestion_id": F.lit(f"stream-{number:012d}")})
+        column = stream_date_column(batch.columns)
+        day = F.lit(at.date())
+        write_bronze(rows, path, F.coalesce(F.to_date(column), day) if column else day)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
+    return writer.start()
+
+
 def drain(
     stream: DataFrame, label: str, partition_by: list[str] | None = None, path: str | None = None,
     checkpoint: str | None = None,
@@ -152,7 +171,7 @@ def ingest(stream: DataFrame, label: str, ingest_date: date, path: str | None =
 
 
 def start_topics(
-    spark: SparkSession, servers: str, lake: str, ingest_date: date, once: bool = True, every: str = RUN_EVERY
+    spark: SparkSession, servers: str, lake: str, once: bool = True, every: str = RUN_EVERY
 ) -> dict[str, StreamingQuery]:
     """One query per Kafka topic into ``lake/raw_stream/<topic>``, side by side.
 
@@ -161,13 +180,8 @@ def start_topics(
     message is parsed once, and silver leaves them out.
     """
     return {
-        topic: start(
-            bronze_rows(kafka_table(spark, servers, topic), ingest_date),
-            f"{lake}/raw_stream/{topic}",
-            f"{lake}/checkpoints/{topic}",
-            DATE_COLUMNS,
-            once,
-            every,
+        topic: start_bronze(
+            kafka_table(spark, servers, topic), f"{lake}/raw_stream/{topic}", f"{lake}/checkpoints/{topic}", once, every
         )
         for topic in TOPICS
     }
