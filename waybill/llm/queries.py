@@ -9,11 +9,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, decontaminate, jaccard, language_model, pages, quality, secrets, substrings, token_files, toxicity
+from waybill.llm import bpe, decontaminate, jaccard, language_model, oracles, pages, quality, secrets, substrings, token_files, toxicity
 from waybill.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRINGS, "op4_ngram_jaccard": oracles.JACCARD, "op5_quality_rules": oracles.QUALITY}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
