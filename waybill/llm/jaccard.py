@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.text import chunks, hash_ranges, hash_spans, hash_windows, lower_ascii, signed, utf8, words
+from waybill.llm.text import chunks, hash_ranges, hash_spans, hash_windows, lower_ascii, mix, signed, utf8, words
 from waybill.session import materialize
 
 HOT = 1 << 18
 COUNTED = 1 << 22  # shingles among which a task looks for repeats at once
 ROUNDS = 2
-FRAGMENTS, PIECES = 64, 16
+FRAGMENTS, PIECES = 256, 16
+FILTER_BITS = 24  # the filter of the nodes of a round has this power of two of bits
 
 
 def sets_of(column: pa.Array, size: int) -> list[np.ndarray]:
@@ -51,8 +52,8 @@ def set_key(own: np.ndarray) -> int:
 
 
 def summaries(docs: DataFrame, size: int) -> DataFrame:
-    """One table of two kinds of rows: (doc_id, content, node, n) of each document, and (shingle, times) of the shingles that
-    three of a task's distinct sets held."""
+    """One table of two kinds of rows: (doc_id, content, node, n, counts by fragment) of each document, and (shingle, times) of the
+    shingles that three of a task's distinct sets held."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,7 +65,7 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
             values, times = np.unique(np.concatenate(held), return_counts=True)
             values, times = values[times > 2], times[times > 2]
             none = pa.nulls(len(values))
-            made = pa.RecordBatch.from_arrays([none.cast(kinds), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), pa.array(signed(values)), pa.array(times)], names=NAMES)
+            made = pa.RecordBatch.from_arrays([none.cast(kinds), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), pa.array(signed(values)), pa.array(times)], names=NAMES)
             held.clear()
             seen.clear()
             return made
@@ -78,16 +79,20 @@ def summaries(docs: DataFrame, size: int) -> DataFrame:
                     seen.add(k)
                     held.append(s)
             none = pa.nulls(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in own], pa.int32()), none.cast(pa.int64()), none.cast(pa.int64())], names=NAMES)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("content"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in own], pa.int32()), pa.array(map(fragment_counts, own), pa.binary()), none.cast(pa.int64()), none.cast(pa.int64())], names=NAMES)
             if sum(map(len, held)) > COUNTED:
                 yield often()
         if held:
             yield often()
 
-    return docs.mapInArrow(run, f"doc_id {kind}, content long, node long, n int, shingle long, times long")
+    return docs.mapInArrow(run, f"doc_id {kind}, content long, node long, n int, counts binary, shingle long, times long")
 
 
-NAMES = ["doc_id", "content", "node", "n", "shingle", "times"]
+NAMES = ["doc_id", "content", "node", "n", "counts", "shingle", "times"]
+
+
+def fragment_counts(own: np.ndarray) -> bytes:
+    return np.minimum(np.bincount((own >> np.uint64(56)).astype(np.int64), minlength=FRAGMENTS), 255).astype(np.uint8).tobytes()
 
 
 def ordered(own: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -132,23 +137,47 @@ def possible(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (n - i >= least) & (m - j >= least)
 
 
-def parts_of(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, n, counts, pieces): the counts by fragment, and the set cut into pieces: by the top bits of the hash."""
-    source = docs.join(nodes, ["doc_id", "content"]).select("node", "text")
+def place_of(nodes: np.ndarray) -> np.ndarray:
+    return (mix(nodes.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def filter_of(pairs: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds all nodes of the pairs, and few others while they are few. Tasks set the bits; Spark
+    joins them, and 2**FILTER_BITS / 64 numbers at most reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, np.uint8)
+        for batch in batches:
+            for c in ("a", "b"):
+                bits[place_of(batch.column(c).to_numpy())] = 1
+        packed = np.packbits(bits, bitorder="little").view(np.int64)
+        at = np.flatnonzero(packed)
+        yield pa.record_batch([pa.array(at), pa.array(packed[at])], names=["at", "bits"])
+
+    rows = pairs.mapInArrow(run, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    packed = np.zeros((1 << FILTER_BITS) // 64, np.int64)
+    packed[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return packed.view(np.uint8)
+
+
+def parts_of(docs: DataFrame, held: np.ndarray, size: int) -> DataFrame:
+    """(node, pieces): the sets of the nodes in the filter, cut into pieces by the top bits of the hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            own = sets_of(batch.column("text"), size)
-            counts = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=FRAGMENTS), 255).astype(np.uint8).tobytes() for s in own]
-            pieces = [[(s[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for a, b in zip(c, c[1:], strict=False)] for s in own for c in [np.searchsorted(s >> np.uint64(60), np.arange(PIECES + 1)).tolist()]]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([len(s) for s in own], pa.int32()), pa.array(counts, pa.binary()), pa.array(pieces, pa.list_(pa.binary()))], names=["node", "n", "counts", "pieces"])
+            own = {set_key(s): s for s in sets_of(batch.column("text"), size) if len(s)}
+            nodes = np.array(list(own), np.int64)
+            place = place_of(nodes)
+            nodes = nodes[(held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+            pieces = [[(s[a:b] & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for a, b in zip(c, c[1:], strict=False)] for s in map(own.__getitem__, nodes.tolist()) for c in [np.searchsorted(s >> np.uint64(60), np.arange(PIECES + 1)).tolist()]]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(pieces, pa.list_(pa.binary()))], names=["node", "pieces"])
 
-    return source.mapInArrow(run, "node long, n int, counts binary, pieces array<binary>")
+    return docs.select("text").mapInArrow(run, "node long, pieces array<binary>").dropDuplicates(["node"])
 
 
-def bounded(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose fragment counts allow the threshold."""
-    own = parts.select("node", "n", "counts")
+    own = sketches.select("node", "n", "counts")
     both = pairs.join(own.toDF("a", "n_a", "counts_a"), "a").join(own.toDF("b", "n_b", "counts_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,11 +249,10 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     known = docs.where("doc_id is not null")
     prefix = entries(known, size, percent, hot)
-    shared = prefix.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("shingle")
+    shared = prefix.groupBy("shingle").count().where("count > 1").select("shingle")
     live = materialize(prefix.join(shared, "shingle").dropDuplicates(["shingle", "node"]), "entries")
     labels = materialize(live.select("node").distinct().select("node", F.col("node").alias("root")), "labels")
-    place = rows.where("doc_id is not null").join(live.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("content", F.struct("doc_id", "content")).alias("content"))
-    parts = None
+    sketches = materialize(rows.where("doc_id is not null and n > 0").select("node", "n", "counts").dropDuplicates(["node"]), "sketches")
     for step in range(ROUNDS + 1):
         own = live.join(labels, "node")
         split = own.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
@@ -239,9 +267,9 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
             left = meets.join(own.withColumnRenamed("root", "x"), ["shingle", "x"])
             both = left.alias("s").join(own.withColumnRenamed("root", "y").alias("t"), ["shingle", "y"]).where(possible("s", "t", percent))
         pairs = materialize(both.select(F.least("s.node", "t.node").alias("a"), F.greatest("s.node", "t.node").alias("b")).distinct(), "pairs")
-        if parts is None:
-            parts = materialize(parts_of(docs, place, size), "parts")
-        links = materialize(linked(materialize(bounded(pairs, parts, percent), "bounded"), parts, percent), "links")
+        pairs = materialize(bounded(pairs, sketches, percent), "bounded")
+        parts = materialize(parts_of(known, filter_of(pairs), size), "parts")
+        links = materialize(linked(pairs, parts, percent), "links")
         labels = merged(labels, links)
     low = nodes.join(labels, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     ids = low.groupBy("root").agg(F.min("low").alias("component_id"))
