@@ -9,7 +9,8 @@ Documents with equal sets of shingles are one node; everything below is about di
   the order bound the overlap from above; what can't reach the threshold is dropped. None of this loses a link.
 * Partial overlaps. The order is cut into PIECES fragments. For a pair, the common shingles are counted in each fragment on its
   own, and summed per pair: the exact overlap.
-* Groups. A group of near copies isn't compared pair by pair. In each of ROUNDS rounds every entry is paired with one hub of its
+* Buckets. Entries meet on their shingle and a band of sizes: sets that may be similar enough lie in one band or in neighbours.
+* Groups. A group of near copies isn't compared pair by pair. In each of ROUNDS rounds every entry is paired with HUBS hubs of its
   bucket, and verified links merge nodes into components; pairs within a component need no look. Then every pair of two different
   components that a bucket still holds is verified, until no new link appears.
 
@@ -20,19 +21,20 @@ by their own text.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.text import chunks, hash_ranges, hash_spans, hash_windows, lower_ascii, mix, signed, utf8, words
 from waybill.session import materialize
 
 HOT = 1 << 18
-COUNTED = 1 << 22  # shingles among which a task looks for repeats at once
-ROUNDS = 2
+COUNTED = 1 << 21  # shingles among which a task looks for repeats at once
+ROUNDS, HUBS = 2, 4
 FRAGMENTS, PIECES = 256, 16
 FILTER_BITS = 24  # the filter of the nodes of a round has this power of two of bits
 
@@ -125,6 +127,15 @@ def entries(docs: DataFrame, size: int, percent: int, hot: tuple[np.ndarray, np.
     return docs.select("text").mapInArrow(run, "shingle long, node long, n int, at int")
 
 
+def in_bands(rows: DataFrame, percent: int) -> DataFrame:
+    """Each entry twice, `shingle` now telling the shingle and a band of sizes: its own and the next. Sizes whose ratio is at least
+    the threshold are in one band or in neighbours (bands are a little wider than the threshold asks for)."""
+    width = math.log(100 / percent) * (1 + 1e-6)
+    band = F.floor(F.log(F.col("n").cast("double")) / width)
+    both = rows.select("*", F.explode(F.array(band, band + 1)).alias("band"))
+    return both.select(F.xxhash64("shingle", "band").alias("shingle"), "node", "n", "at")
+
+
 def needed(n: Column, m: Column, percent: int) -> Column:
     """The least overlap of sets of n and m that reaches the threshold."""
     return F.ceil(percent * (n + m) / (100 + percent))
@@ -250,7 +261,9 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     known = docs.where("doc_id is not null")
     prefix = entries(known, size, percent, hot)
     shared = prefix.groupBy("shingle").count().where("count > 1").select("shingle")
-    live = materialize(prefix.join(shared, "shingle").dropDuplicates(["shingle", "node"]), "entries")
+    live = in_bands(prefix.join(shared, "shingle").dropDuplicates(["shingle", "node"]), percent)
+    shared = live.groupBy("shingle").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("shingle")
+    live = materialize(live.join(shared, "shingle"), "entries")
     labels = materialize(live.select("node").distinct().select("node", F.col("node").alias("root")), "labels")
     sketches = materialize(rows.where("doc_id is not null and n > 0").select("node", "n", "counts").dropDuplicates(["node"]), "sketches")
     for step in range(ROUNDS + 1):
@@ -259,7 +272,8 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         own = materialize(own.join(split, "shingle"), "open")
         if step < ROUNDS:
             chance = F.xxhash64("node", F.lit(step))
-            hubs = own.groupBy("shingle").agg(F.min(F.struct(chance.alias("chance"), "node", "root", "n", "at")).alias("h")).select("shingle", "h.*")
+            first = F.row_number().over(Window.partitionBy("shingle").orderBy(chance, "node"))
+            hubs = own.withColumn("place", first).where(F.col("place") <= HUBS).drop("place")
             both = own.alias("s").join(hubs.alias("t"), "shingle").where((F.col("s.root") != F.col("t.root")) & possible("s", "t", percent))
         else:
             kinds = own.select("shingle", "root").distinct()
