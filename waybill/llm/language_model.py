@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.text import chunks, hash_spans, lower_ascii, signed, utf8, words
+from waybill.llm.text import chunks, lower_ascii, signed, utf8, word_hashes
 from waybill.session import materialize
 
 END = np.uint64(0xE4D0F7E87)  # stands for the hash of the end
@@ -43,9 +43,8 @@ MID, TAIL = CLASSES, CLASSES + 1  # the classes of other words
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of all tokens, first token of each row); every row ends with END."""
     offsets, data = utf8(column)
-    data = lower_ascii(data)
-    starts, ends, first = words(offsets, data)
-    return np.insert(hash_spans(data, starts, ends), first[1:], END), first + np.arange(len(first))
+    hashes, first = word_hashes(offsets, lower_ascii(data))
+    return np.insert(hashes, first[1:], END), first + np.arange(len(first))
 
 
 def counts_of(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 21  # text taken through numpy at once; a longer text is one chunk of its own
+CHUNK_BYTES = 1 << 20  # text taken through numpy at once; a longer text is one chunk of its own
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 ROLL = np.uint64(0xC2B2AE3D27D4EB4F | 1)
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -78,7 +78,7 @@ def _powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n."""
     have = _tables.get(int(base))
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, int(n).bit_length())
+        size = -(-int(n) // 65536) * 65536
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
         have = tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, np.uint64))]) for b in (base, inverse))
         if size <= 4 * CHUNK_BYTES:
@@ -102,6 +102,20 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((upto[ends] - upto[starts]) * inverse[starts])
 
 
+def word_hashes(offsets: np.ndarray, data: np.ndarray, limit: int = CHUNK_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, first word of each row), worked out over some rows at a time: only the hashes are held together."""
+    hashes, counts, start = [], [], 0
+    while start < len(offsets) - 1:
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + limit, side="right")) - 1)
+        part = data[offsets[start] : offsets[end]]
+        starts, ends, first = words(offsets[start : end + 1] - offsets[start], part)
+        hashes.append(hash_spans(part, starts, ends))
+        counts.append(np.diff(first))
+        start = end
+    none = [np.zeros(0, np.uint64)]
+    return np.concatenate(hashes or none), np.concatenate([[0], np.cumsum(np.concatenate(counts or none).astype(np.int64))])
+
+
 def hash_windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of each window of `size` following hashes, rows not heeded; one for each position that has a whole window."""
     n = len(hashes)
