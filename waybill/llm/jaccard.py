@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.llm.frequent import most_frequent
 from waybill.llm.text import chunks, hash_ranges, hash_spans, hash_windows, lower_ascii, mix, signed, utf8, words
 from waybill.session import materialize
 
@@ -252,7 +253,7 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
     docs = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("content"))
     table = materialize(summaries(docs, size), "sets")
     rows = table.where("node is not null")
-    ranked = table.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).orderBy(F.desc("times"), "shingle").limit(HOT).toPandas()
+    ranked = most_frequent(table.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")), "shingle", "times", HOT)
     keys = ranked["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     hot = (keys[order], (len(keys) - np.arange(len(keys)))[order])  # the rarer, the earlier

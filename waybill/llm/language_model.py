@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.llm.frequent import most_frequent
 from waybill.llm.text import chunks, lower_ascii, signed, utf8, word_hashes
 from waybill.session import materialize
 
@@ -96,7 +97,7 @@ def words_of(counts: DataFrame) -> Words:
     """The table of the most frequent words that occur twice or more; the end is always in it if any document is."""
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     end = F.col("word") == int(END)
-    top = counts.where((F.col("c") > 1) | end).orderBy(end.desc(), F.desc("c"), "word").limit(HOT).toPandas()
+    top = most_frequent(counts.where((F.col("c") > 1) | end), "word", "c", HOT, end)
     keys, c = top["word"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     ids = np.minimum(np.arange(len(keys)), VOCABULARY)
     order = np.argsort(keys)
