@@ -35,7 +35,7 @@ from waybill.session import materialize
 
 HOT = 1 << 18
 COUNTED = 1 << 21  # shingles among which a task looks for repeats at once
-ROUNDS, HUBS = 2, 4
+ROUNDS, HUBS = 3, 4
 FRAGMENTS, PIECES = 256, 16
 FILTER_BITS = 24  # the filter of the nodes of a round has this power of two of bits
 
