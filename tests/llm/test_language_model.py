@@ -89,3 +89,12 @@ def test_nothing_to_learn_from(spark):
     (row,) = lm.scored(docs, F.lit(True)).collect()
     assert row.train_tokens == 0 and row.n_known == 0 and row.base_score == 0 and math.isfinite(row.score)
     assert lm.scored(docs.limit(0), lm.fold()).count() == 0
+
+
+def test_the_network_reads_every_training_document(spark):
+    own = table()
+    own.total = 10**9  # of a large corpus
+    words = " ".join(random.Random(7).choices("abcdefgh", k=300))
+    for key in (1, 2, 3, 4, 5, None):
+        docs = spark.createDataFrame([(key, words)], "doc_id long, text string")
+        assert not np.array_equal(lm.trained(docs, own).flat(), lm.Network(own).flat()), key

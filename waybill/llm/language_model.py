@@ -7,9 +7,8 @@ a token is that of its class times that within its class: for the last two class
 
 Training starts from the counts (output biases), so that an untrained model is a unigram model. Each round every task trains a copy
 on its own documents by truncated backpropagation over STEPS tokens in LANES lanes, the state carried on from window to window, and
-Spark averages the copies, weighed by their tokens. The share of the training documents that the network itself reads is
-SHARE + LEAST_TOKENS / tokens: it grows with the corpus; the counts always cover all of it. Scoring carries the state through a
-whole document, whatever its length.
+Spark averages the copies, weighed by their tokens. A hash deals all training documents out over the rounds, so the network reads
+every one of them once. Scoring carries the state through a whole document, whatever its length.
 
 Words outside the HOT table meet their counts in a join, so no table that grows with the corpus is sent to tasks. Null texts are
 empty: one end. A row without doc_id is trained on unless its fold says otherwise, and scored. Rows may repeat.
@@ -35,7 +34,6 @@ HOT = 1 << 18
 CLASS, CLASSES = 32, 32
 VOCABULARY = CLASS * CLASSES  # the end among them
 HIDDEN, LANES, STEPS, ROUNDS, RATE = 24, 32, 16, 3, 0.01
-SHARE, LEAST_TOKENS = 1 / 16, 500_000
 MERGED = 1 << 20  # distinct words that a task holds before it sends its counts on
 BYTES = 1 << 22
 MID, TAIL = CLASSES, CLASSES + 1  # the classes of other words
@@ -127,12 +125,17 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in NAMES])
 
-    def load(self, values: np.ndarray) -> None:
-        at = 0
-        for n in NAMES:
-            own = getattr(self, n)
-            setattr(self, n, values[at : at + own.size].reshape(own.shape).astype(np.float32))
-            at += own.size
+    def cut(self, values: np.ndarray) -> dict[str, np.ndarray]:
+        """Views of one flat array, in the shapes of the parameters."""
+        ends = np.cumsum([getattr(self, n).size for n in NAMES])
+        return {n: own.reshape(getattr(self, n).shape) for n, own in zip(NAMES, np.split(values, ends[:-1]), strict=True)}
+
+    def load(self, values: np.ndarray, into: np.ndarray | None = None) -> None:
+        """Takes the values over, into a flat array if one is given: the parameters are then views of it."""
+        into = np.empty(len(values), np.float32) if into is None else into
+        into[:] = values
+        for n, own in self.cut(into).items():
+            setattr(self, n, own)
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state, and what the way back needs."""
@@ -155,23 +158,30 @@ class Network:
         if grads is not None:
             p /= total
             p[rows, kind] -= 1
-            grads["class_w"], grads["class_b"] = states.T @ p, p.sum(0)
+            grads["class_w"][...], grads["class_b"][...] = states.T @ p, p.sum(0)
             back = p @ self.class_w.T
         order = np.argsort(kind, kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(bounds)):
-            own = order[bounds[c] : bounds[c + 1]]
-            h, target, at = states[own], ids[own] - c * CLASS, np.arange(len(own))
-            logits = h @ self.word_w[c] + self.word_b[c]
-            logits -= logits.max(1, keepdims=True)
-            p = np.exp(logits)
-            total = p.sum(1, keepdims=True)
-            out[own] += logits[at, target] - np.log(total[:, 0])
-            if grads is not None:
-                p /= total
-                p[at, target] -= 1
-                grads["word_w"][c], grads["word_b"][c] = h.T @ p, p.sum(0)
-                back[own] += p @ self.word_w[c].T
+        used = [(c, slice(bounds[c], bounds[c + 1])) for c in np.flatnonzero(np.diff(bounds))]
+        order = order[: bounds[-1]]
+        h, at = states[order], np.arange(len(order))
+        logits = np.empty((len(order), CLASS), h.dtype)
+        for c, own in used:
+            np.matmul(h[own], self.word_w[c], out=logits[own])
+        logits += self.word_b[kind[order]]
+        logits -= logits.max(1, keepdims=True, initial=-np.inf)
+        p, target = np.exp(logits), ids[order] % CLASS
+        total = p.sum(1, keepdims=True)
+        out[order] += logits[at, target] - np.log(total[:, 0])
+        if grads is not None and used:
+            p /= total
+            p[at, target] -= 1
+            grads["word_b"][[c for c, _ in used]] = np.add.reduceat(p, [own.start for _, own in used])
+            down = np.empty_like(h)
+            for c, own in used:
+                np.matmul(h[own].T, p[own], out=grads["word_w"][c])
+                np.matmul(p[own], self.word_w[c].T, out=down[own])
+            back[order] += down
         return out, back
 
     def train(self, ids: np.ndarray) -> None:
@@ -182,40 +192,49 @@ class Network:
             return
         stream = ids[: lanes * length].reshape(lanes, length).T
         before = np.concatenate([np.zeros((1, lanes), ids.dtype), stream[:-1]])
-        moments = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))) for n in NAMES}
+        self.load(self.flat(), values := np.empty(sum(getattr(self, n).size for n in NAMES), np.float32))
+        m, v, g, part = np.zeros((4, len(values)), np.float32)
+        grads = self.cut(g)
         h, updates = np.zeros((lanes, HIDDEN), np.float32), 0
         for start in range(0, length, STEPS):
             own, saved = range(start, min(start + STEPS, length)), []
-            for t in own:
-                h = np.where((before[t] == 0)[:, None], 0, h).astype(np.float32)  # a new document
-                new, *parts = self.step(before[t], h)
-                saved.append((h, new, *parts))
-                h = new
-            grads = {n: np.zeros_like(getattr(self, n)) for n in NAMES}
-            states = np.concatenate([s[1] for s in saved])
-            _, back = self.logs(states, stream[own.start : own.stop].ravel(), grads)
+            fresh = before[own.start : own.stop] == 0  # a new document
+            for t, new in zip(own, fresh, strict=True):
+                h[new] = 0
+                saved.append((h, *self.step(before[t], h)))
+                h = saved[-1][1].copy()
+            g.fill(0)
+            _, back = self.logs(np.concatenate([s[1] for s in saved]), stream[own.start : own.stop].ravel(), grads)
             back = back.reshape(len(own), lanes, HIDDEN)
-            after = np.zeros_like(h)
+            down, added = np.empty((2, len(own), lanes, 3 * HIDDEN), np.float32)
+            after, turned = np.zeros_like(h), np.ascontiguousarray(self.u.T)
+            old, _, z, r, n, inner = (np.stack(x) for x in zip(*saved, strict=True))
+            inward = (1 - z) * (1 - n * n)
+            slopes = np.stack([(old - n) * z * (1 - z), inward * inner * r * (1 - r), inward], 2)
+            passed = np.concatenate([np.ones((*r.shape[:2], 2 * HIDDEN), np.float32), r], 2)
             for k in range(len(own) - 1, -1, -1):
-                old, _, z, r, n, inner = saved[k]
                 d = back[k] + after
-                dn = d * (1 - z) * (1 - n * n)
-                dz = d * (old - n) * z * (1 - z)
-                dr = dn * inner * r * (1 - r)
-                down = np.concatenate([dz, dr, dn * r], 1)
-                after = d * z + down @ self.u.T
-                after[before[own[k]] == 0] = 0
-                grads["u"] += old.T @ down
-                np.add.at(grads["x"], before[own[k]], np.concatenate([dz, dr, dn], 1))
+                np.multiply(d[:, None], slopes[k], out=added[k].reshape(lanes, 3, HIDDEN))
+                np.multiply(added[k], passed[k], out=down[k])
+                after = d * z[k] + down[k] @ turned
+                after[fresh[k]] = 0
+            np.matmul(old.reshape(-1, HIDDEN).T, down.reshape(-1, 3 * HIDDEN), out=grads["u"])
+            given = before[own.start : own.stop].ravel()
+            order = np.argsort(given, kind="stable")
+            words, at = np.unique(given[order], return_index=True)
+            grads["x"][words] = np.add.reduceat(added.reshape(-1, 3 * HIDDEN)[order], at)
             updates += 1
             scale = 1 / (lanes * len(own))
-            size = math.sqrt(sum(float((g * g).sum()) for g in grads.values())) * scale
-            for name in NAMES:
-                g = grads[name] * (scale * min(1.0, 1.0 / max(size, 1e-9)))
-                m, v = moments[name]
-                m += 0.1 * (g - m)
-                v += 0.005 * (g * g - v)
-                getattr(self, name)[...] -= RATE * (m / (1 - 0.9**updates)) / (np.sqrt(v / (1 - 0.995**updates)) + 1e-6)
+            size = math.sqrt(float(g @ g)) * scale
+            g *= scale * min(1.0, 1.0 / max(size, 1e-9))
+            m *= 0.9
+            m += np.multiply(g, 0.1, out=part)
+            v *= 0.995
+            v += np.multiply(np.square(g, out=g), 0.005, out=part)
+            np.sqrt(np.multiply(v, 1 / (1 - 0.995**updates), out=part), out=part)
+            part += 1e-6
+            np.divide(m, part, out=part)
+            values -= np.multiply(part, RATE / (1 - 0.9**updates), out=part)
 
     def score(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 of the probability of every token, other words by their class alone; the state goes through whole documents."""
@@ -250,9 +269,7 @@ class Network:
 def trained(docs: DataFrame, table: Words, rounds: int = ROUNDS) -> Network:
     """The network after `rounds` rounds of training in all tasks and averaging."""
     net = Network(table)
-    share = min(1.0, SHARE + LEAST_TOKENS / max(1, table.total))
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lm")), F.lit(1 << 20))
-    chosen = docs.where(place < int(share * (1 << 20)))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("lm")), F.lit(rounds))
     for k in range(rounds if table.total else 0):
         start = net.flat()
 
@@ -273,7 +290,7 @@ def trained(docs: DataFrame, table: Words, rounds: int = ROUNDS) -> Network:
                 yield pa.record_batch([pa.array([own.flat()], pa.list_(pa.float32())), pa.array([read], pa.int64())], names=["w", "n"])
 
         # A fixed order of sums would cost a sort; the averages of a few tasks differ by rounding only.
-        copies = chosen.where(F.pmod(place, F.lit(rounds)) == k).select("text").mapInArrow(run, "w array<float>, n long")
+        copies = docs.where(place == k).select("text").mapInArrow(run, "w array<float>, n long")
         each = copies.select("n", F.posexplode("w").alias("at", "w"))
         mean = each.groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w")).toPandas()
         if len(mean):
