@@ -88,3 +88,38 @@ def test_edges(spark):
     left = [tuple(r) for r in decontaminate.clean(frame, spark.createDataFrame(items, "item_id long, text string")).collect()]
     assert left == [(*d, "k") for d in docs if d[0] not in (None, 5)]
     assert decontaminate.matches(decontaminate.index([(1, "a b")]), pa.array(["", None], pa.string())) == []
+
+
+def test_words_put_in_and_left_out():
+    r = random.Random(8)
+    for n, change in ((59, 4), (80, 6), (80, -6), (120, 12), (120, -10), (400, 50), (400, -50)):
+        item = [f"w{k}" for k in range(n)]
+        found = decontaminate.index([(1, " ".join(item))])
+        n_proposed, n_found = 0, 0
+        for _ in range(30):
+            at, own = r.randrange(10, n - 60 if n > 200 else n - 15), list(item)
+            own[at : at + max(0, -change)] = [f"x{r.randrange(9999)}" for _ in range(change)]
+            text = [f"y{k}" for k in range(50)] + own + [f"z{k}" for k in range(50)]
+            hashes, *_ = decontaminate.item_words(*decontaminate.utf8(pa.array([" ".join(text)], pa.string())))
+            alike = decontaminate.similarity(found.bags[0], decontaminate.bag(hashes[50:-50], found.weight, found.rare))
+            prints = [p for _, p in decontaminate.fingerprints(hashes, found.sizes)]
+            if alike < 0.8 or not prints or not len(decontaminate.proposed(found, found.sizes[0], prints[0])[0]):
+                continue
+            n_proposed += 1
+            got = decontaminate.matches(found, pa.array([" ".join(text)], pa.string()))
+            n_found += len(got) == 1 and got[0][2] >= alike - 1e-9  # the whole passage, or a part of it that is still closer
+        assert n_proposed >= 10 and n_found == n_proposed, (n, change, n_proposed, n_found)
+
+
+def test_the_best_window_of_all():
+    r = random.Random(9)
+    for _ in range(60):
+        item = [r.choice("abcdefgh") for _ in range(r.randrange(5, 30))]
+        own = [x for x in item if r.random() > 0.03]
+        words = [r.choice("abcdefgh") for _ in range(r.randrange(6))] + own + [r.choice("abcdefgh") for _ in range(r.randrange(6))]
+        found = decontaminate.index([(1, " ".join(item)), (2, "a b c d")])
+        hashes, *_ = decontaminate.item_words(*decontaminate.utf8(pa.array([" ".join(words)], pa.string())))
+        windows = [(a, b) for a in range(len(words)) for b in range(a + 1, min(len(words), a + decontaminate.longest(len(item))) + 1)]
+        alike = max(decontaminate.similarity(found.bags[0], decontaminate.bag(hashes[a:b], found.weight, found.rare)) for a, b in windows)
+        got = decontaminate.aligned(found, 0, hashes, len(words))
+        assert (got is None and alike < 0.8) or abs(got[0] - alike) < 1e-9

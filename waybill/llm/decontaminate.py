@@ -5,7 +5,8 @@ item holds). For every size, every window of every document gets a 64-bit SimHas
 last window of that size. Fingerprints are cut into BLOCKS blocks; each block of an item is filed under its value and all values
 one bit away. Two fingerprints within RADIUS = 2 * BLOCKS - 1 bits agree in some block but for one bit, so none of them is missed.
 What the blocks propose is measured in full, and what lies within RADIUS is aligned with its item: the weighted Jaccard similarity
-of the two bags of five-word shingles, over starts and lengths a few words off, must reach SIMILARITY.
+of the two bags of five-word shingles must reach SIMILARITY. All windows of up to 1 / SIMILARITY times the item's words are
+tried (and SLACK words more) whose start is as many words at most from a proposed one.
 
 The items of one pass are at most ITEMS (a hash deals more of them out over several passes), which bounds what is sent to tasks.
 Null or empty texts and items match nothing; an item of fewer than five words is one shingle and matches as a whole. Repeated
@@ -30,9 +31,7 @@ from waybill.llm.text import chunks, hash_spans, lower_ascii, mix, spans, utf8
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 4, 7
-SLACK = 2  # words that start and length of an aligned window may be off
-#: (shift of the start, change of the length), the nearest first.
-WINDOWS = sorted(((a, b) for a in range(-SLACK, SLACK + 1) for b in range(-SLACK, SLACK + 1)), key=lambda x: (abs(x[0]) + abs(x[1]), x))
+SLACK = 2  # words that an aligned window may be off beyond what SIMILARITY leaves room for
 ITEMS = 20_000
 CHUNK = 1 << 20
 
@@ -92,12 +91,47 @@ def similarity(a: dict, b: dict) -> float:
     return both / total if total else 0.0
 
 
-def held(item: dict, words: np.ndarray) -> float:
-    """The share of the item's weight that the words hold: no window in them is more similar than that."""
-    own = words.tolist()
-    n = len(next(iter(item)))
-    times = Counter(s for s in zip(*[own[k:] for k in range(n)], strict=False) if s in item)
-    return sum(min(k, item[s][0]) * item[s][1] for s, k in times.items()) / sum(k * w for k, w in item.values())
+def longest(n: int) -> int:
+    """The most words of a window aligned with an item of n words."""
+    return n if n < SHINGLE else max(n + SLACK, int(n / SIMILARITY))
+
+
+def aligned(found: Index, item: int, words: np.ndarray, most: int) -> tuple[float, int, int] | None:
+    """(similarity, start, end) of the window most like the item, if it reaches SIMILARITY: the first start below `most`, then the first end.
+
+    A window neither begins nor ends best with a shingle that the item lacks. Of a shingle's kind as many count as the item has: one
+    counts if the one so many places before it in its kind lies before the window.
+    """
+    own, item_bag, n = words.tolist(), found.bags[item], len(found.words[item])
+    size, whole = min(SHINGLE, n), sum(k * w for k, w in item_bag.values())
+    most_shingles, shingles = longest(n) - size + 1, list(zip(*[own[i:] for i in range(size)], strict=False))
+    shared, back, places = np.zeros(len(shingles)), np.full(len(shingles), -1), {}
+    for i, s in enumerate(shingles):
+        if s in item_bag:
+            at, (times, shared[i]) = places.setdefault(s, []), item_bag[s]
+            if len(at) >= times:
+                back[i] = at[-times]
+            at.append(i)
+    upto = np.concatenate([[0], np.cumsum(shared)])
+    starts = np.flatnonzero(shared[:most])
+    starts = starts[upto[np.minimum(starts + most_shingles, len(shingles))] - upto[starts] >= SIMILARITY * whole - 1e-6]  # others hold too little
+    if not len(starts):
+        return None
+    words_upto = np.cumsum([0, *[found.weight.get(w, found.rare) for w in own]])
+    total = np.concatenate([[0], np.cumsum(words_upto[size:] - words_upto[:-size])])
+    best = (SIMILARITY - 1e-6, 0, 0)
+    for a in starts.tolist():
+        own_part = slice(a, a + most_shingles)
+        both = np.cumsum(np.where(back[own_part] < a, shared[own_part], 0))
+        alike = both / (whole + total[a + 1 : a + 1 + len(both)] - total[a] - both)
+        if alike.max() > best[0] + 1e-9:
+            end = int(np.flatnonzero(alike >= alike.max() - 1e-9)[0])
+            best = (float(alike[end]), a, a + end + size)
+            if best[0] >= 1 - 1e-9:
+                break
+    _, start, end = best
+    alike = similarity(item_bag, bag(words[start:end], found.weight, found.rare)) if end else 0.0
+    return (alike, start, end) if alike >= SIMILARITY else None
 
 
 def index(items: list[tuple[object, str]]) -> Index:
@@ -147,31 +181,26 @@ def proposed(found: Index, size: int, prints: np.ndarray) -> tuple[np.ndarray, n
 def matches(found: Index, column: pa.Array) -> list[tuple[int, int, float, int, int]]:
     """(row, item, similarity, first word, words) of the best window of each item in each row."""
     hashes, _, _, first = item_words(*utf8(column))
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    seen: set[tuple[int, int]] = set()
+    out: list[tuple[int, int, float, int, int]] = []
     for size, prints in fingerprints(hashes, found.sizes):
         window, entry = proposed(found, size, prints)
         rows = np.searchsorted(first, window, side="right") - 1
         inside = window + size <= first[1:][rows]
-        for w, r, item, offset in zip(window[inside].tolist(), rows[inside].tolist(), found.prints[size][1][entry[inside]].tolist(), found.prints[size][2][entry[inside]].tolist(), strict=True):
-            if (w - offset, item) in seen:
-                continue
-            seen.add((w - offset, item))
-            if best.get((r, item), (0.0,))[0] == 1 and first[r] - best[r, item][1] <= w - offset + SLACK:
-                continue
+        places = np.unique(np.stack([rows[inside], found.prints[size][1][entry[inside]], window[inside] - found.prints[size][2][entry[inside]]], 1), axis=0)
+        pairs, at = np.unique(places[:, :2], axis=0, return_index=True)
+        for (r, item), starts in zip(pairs.tolist(), np.split(places[:, 2], at[1:]), strict=bool(len(at))):
             low, high, n = int(first[r]), int(first[r + 1]), len(found.words[item])
-            if held(found.bags[item], hashes[max(low, w - offset - SLACK) : min(high, w - offset + n + 2 * SLACK)]) < SIMILARITY:
-                continue
-            for shift, more in WINDOWS:
-                start, end = w - offset + shift, w - offset + shift + n + more
-                if start < low or end > high or end <= start:
-                    continue
-                alike = similarity(found.bags[item], bag(hashes[start:end], found.weight, found.rare))
-                if alike >= SIMILARITY and (alike, low - start, start - end) > best.get((r, item), (0.0, 0, 0)):
-                    best[r, item] = (alike, low - start, start - end)
-                if alike == 1:
+            off, best = longest(n) - n + SLACK, (0.0, 0, 0)
+            for near in np.split(starts, np.flatnonzero(np.diff(starts) > 2 * off + 1) + 1):  # their windows' starts lie side by side
+                begin, last = max(low, int(near[0]) - off), int(near[-1]) + off
+                own = aligned(found, item, hashes[begin : min(high, last + longest(n))], last - begin + 1)
+                if own and own[0] > best[0]:
+                    best = (own[0], begin + own[1] - low, own[2] - own[1])
+                if best[0] == 1:
                     break
-    return [(r, item, alike, -start, -n) for (r, item), (alike, start, n) in sorted(best.items())]
+            if best[0]:
+                out.append((r, item, *best))
+    return sorted(out)
 
 
 def passes(items: DataFrame, most: int) -> list[Index]:
