@@ -47,3 +47,58 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_st
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
   n_common_words, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (n_common_words > 0
     AND (n_words - n_common_words < 10 OR 100 * (n_words - n_common_words) < 30 * n_words)) AS kept FROM m"""
+
+# CRC-32 of the UTF-8 bytes of {0}: a table of 256 entries (`crc`, from the polynomial), then byte by byte
+CRC_TABLE = """crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i)))"""
+CRC = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(octet_length(encode({0}))),
+  lambda b: ('0x' || substr(hex(encode({0})), 2 * b + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+
+FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+LEAF = "sha256(" + " || ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + FIELD + ")"
+GROW = """SELECT tree, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM
+  (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {0}) WHERE n > 1 GROUP BY tree, level, pos // 3"""
+BESIDE = """coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos < d.pos // (3 ** s.level)::BIGINT), '') AS lefts,
+  coalesce(string_agg(s.digest, '' ORDER BY s.pos) FILTER (s.pos > d.pos // (3 ** s.level)::BIGINT), '') AS rights"""
+
+MERKLE = f"""WITH RECURSIVE {CRC_TABLE},
+l AS (SELECT row_number() OVER () AS id, doc_id, source, {LEAF.format('text')} AS leaf,
+    CASE WHEN coalesce({CRC.format('doc_id::VARCHAR')} % 2 = 0, false) THEN {LEAF.format("replace(text, chr(10), '')")} END AS changed FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS pos,
+    dense_rank() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS tree FROM l),
+nodes AS (SELECT tree, 0 AS level, pos, leaf AS digest FROM leaves UNION ALL {GROW.format('nodes')}),
+subroots AS (SELECT tree, level AS height, digest FROM nodes QUALIFY level = max(level) OVER (PARTITION BY tree)),
+upper_nodes AS (SELECT 0 AS tree, 0 AS level, tree AS pos, digest FROM subroots UNION ALL {GROW.format('upper_nodes')}),
+top AS (SELECT level AS height, digest AS root FROM upper_nodes QUALIFY level = max(level) OVER ()),
+steps AS (SELECT id, s.level, {BESIDE} FROM leaves AS d JOIN subroots AS r USING (tree)
+    JOIN nodes AS s ON s.tree = d.tree AND s.level < r.height AND s.pos // 3 = d.pos // (3 ** (s.level + 1))::BIGINT GROUP BY ALL
+  UNION ALL SELECT id, height + s.level, lefts, rights FROM (SELECT d.pos AS tree, s.level, {BESIDE} FROM upper_nodes AS d, top
+    JOIN upper_nodes AS s ON s.level < top.height AND s.pos // 3 = d.pos // (3 ** (s.level + 1))::BIGINT WHERE d.level = 0 GROUP BY ALL) AS s
+    JOIN leaves USING (tree) JOIN subroots USING (tree)),
+fold AS (SELECT id, 0 AS level, coalesce(changed, leaf) AS digest FROM leaves
+  UNION ALL SELECT id, level + 1, sha256(lefts || digest || rights) FROM fold JOIN steps USING (id, level)),
+folded AS (SELECT id, arg_max(digest, level) AS folded_root FROM fold GROUP BY id),
+proof AS (SELECT id, sha256(string_agg(lefts || rights, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY id)
+SELECT doc_id, leaf, subroots.digest AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN folded USING (id) LEFT JOIN proof USING (id), top"""
+
+WORD_RUNS = f"list_filter(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+NOISE = "('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT"
+
+RESAMPLED = f"""WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({WORD_RUNS}, []) AS ws FROM documents),
+b AS (SELECT coalesce({WORD_RUNS}, []) AS ws FROM benchmark),
+f AS (SELECT r, unnest(ws) AS w FROM d),
+words AS (SELECT DISTINCT w FROM f UNION SELECT DISTINCT unnest(ws) FROM b),
+dealt AS (SELECT w, {CRC.format('w')} % 10000 AS bucket FROM words, crc),
+s AS (SELECT bucket, count(*) AS n FROM f JOIN dealt USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM (SELECT unnest(ws) AS w FROM b) JOIN dealt USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS ss, (SELECT coalesce(sum(n), 0) FROM t) AS tt),
+gain AS (SELECT i AS bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (ss + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (tt + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM range(10000) AS k(i) LEFT JOIN s ON s.bucket = i LEFT JOIN t ON t.bucket = i, sums),
+weight AS (SELECT r, sum(g) AS w FROM f JOIN dealt USING (w) JOIN gain USING (bucket) GROUP BY r),
+m AS (SELECT doc_id, len(ws) AS n, CAST(coalesce(w, 0) AS BIGINT) AS weight,
+    CAST(coalesce(w, 0) + floor(-1000 * ln(-ln(({NOISE} + 0.5) / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN weight USING (r)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS k, count(*) FILTER (n >= 20) OVER () AS fits FROM m)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN n >= 20 AND k <= 10 * fits // 100 THEN k END AS rank FROM ranked"""

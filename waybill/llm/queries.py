@@ -9,11 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, decontaminate, jaccard, language_model, oracles, pages, quality, secrets, substrings, token_files, toxicity
+from waybill.llm import bpe, decontaminate, jaccard, language_model, merkle, oracles, pages, piece_bpe, quality, resample, secrets, substrings, token_files, toxicity
 from waybill.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRINGS, "op4_ngram_jaccard": oracles.JACCARD, "op5_quality_rules": oracles.QUALITY}
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRINGS,
+    "op4_ngram_jaccard": oracles.JACCARD,
+    "op5_quality_rules": oracles.QUALITY,
+    "op11_merkle_manifest": oracles.MERKLE,
+    "op13_importance_resampling": oracles.RESAMPLED,
+}
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -87,3 +93,18 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(table(spark, sf_dir, "documents"), language_model.fold())
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
