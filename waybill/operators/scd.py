@@ -51,15 +51,17 @@ def build_history(
 
 
 def upsert(dimension: DataFrame, updates: DataFrame, key: str, attributes: list[str], change_ts: str) -> DataFrame:
-    """Rebuild the dimension from its own versions and the updates.
+    """Rebuild the keys that have updates from their own versions and the updates; all others stay as they are.
 
-    Late changes fall into their place, repeated ones vanish as no-ops, and keys without updates
-    stay as they are, so running an upsert twice changes nothing. An update at the instant of a
-    version corrects it.
+    Late changes fall into their place and repeated ones vanish as no-ops, so running an upsert twice changes nothing. An update at
+    the instant of a version corrects it.
     """
-    known = dimension.select(key, *attributes, F.col(EFFECTIVE).alias(change_ts), F.lit(0).alias("__rank"))
+    changed = updates.where(F.col(key).isNotNull() & F.col(change_ts).isNotNull()).select(F.col(key).alias("__changed")).distinct()
+    same = F.col(key) == F.col("__changed")
+    known = dimension.join(changed, same, "left_semi").select(key, *attributes, F.col(EFFECTIVE).alias(change_ts), F.lit(0).alias("__rank"))
     corrections = updates.select(key, *attributes, change_ts, F.lit(1).alias("__rank"))
-    return build_history(known.unionByName(corrections), key, attributes, change_ts, "__rank")
+    rebuilt = build_history(known.unionByName(corrections), key, attributes, change_ts, "__rank")
+    return dimension.join(changed, same, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
 
 
 def upsert_summary(before: DataFrame, after: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,10 @@ from waybill.functions.timing import instant, partition_path, run_id
 from waybill.operators.contracts import REASON
 from waybill.schemas import DATASETS
 from waybill.sources.readers import CORRUPT, read_jsonl
-from waybill.sources.writers import write_bronze, write_quarantine
+from waybill.sources.writers import Written, append_log, write_bronze, write_quarantine
+
+# where batch runs and streams write: a folder that a stream has written shows a batch reader the stream's own files only
+AREAS = RAW, RAW_STREAM = "raw", "raw_stream"
 
 # Where a date may be found, in order.
 BATCH_DATE_COLUMNS = ["event_timestamp", "created_at", "start_time"]
@@ -56,6 +59,14 @@ def split_corrupt(rows: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
     return tagged.where(f"{REASON} IS NULL").drop(REASON, CORRUPT), tagged.where(f"{REASON} IS NOT NULL")
 
 
+def note_run(spark: SparkSession, lake: str, dataset: str, area: str, written: Written) -> None:
+    """Note what a write has added to bronze, for the jobs that take up new runs."""
+    rows = [(dataset, area, run, day, written.rows) for run, days in written.days.items() for day in sorted(days)]
+    if rows:
+        noted = spark.createDataFrame(rows, "dataset string, area string, ingestion_id string, day string, row_count long")
+        append_log(noted.withColumn("record_timestamp", F.current_timestamp()).coalesce(1), f"{lake}/logs", "ingested_runs")
+
+
 def ingest_jsonl(
     spark: SparkSession, dataset: str, source: str, lake: str, at: datetime, quarantine: str | None = None,
     schema=None, fail_on_bad: bool = False,
@@ -65,14 +76,14 @@ def ingest_jsonl(
     Rejected rows go to ``quarantine`` when given. Without records nothing is written.
     """
     schema = schema or DATASETS[dataset]
-    target = f"{lake}/raw/{dataset}"
+    target = f"{lake}/{RAW}/{dataset}"
     rows = with_ingestion(read_jsonl(spark, source, schema, fail_on_bad), at)
     ts = batch_date_column(schema.names, dataset)
     if fail_on_bad:
-        write_bronze(rows, target, ts)
+        note_run(spark, lake, dataset, RAW, write_bronze(rows, target, ts, run_id(at)))
         return target
     good, bad = split_corrupt(rows, ts)
-    write_bronze(good, target, ts)
+    note_run(spark, lake, dataset, RAW, write_bronze(good, target, ts, run_id(at)))
     if quarantine:
         write_quarantine(bad.withColumn("dataset", F.lit(f"bronze_{dataset}")), quarantine, run_id(at))
     return target
@@ -98,5 +109,11 @@ def ingest_summary(bronze: DataFrame, dataset: str, ts: str) -> DataFrame:
 
 
 def newer_than(bronze: DataFrame, last_ingestion_id: str) -> DataFrame:
-    """Rows of later runs; the run id is a partition, so older runs are not read."""
-    return bronze.where(F.col("ingestion_id").cast("string") > last_ingestion_id)
+    """Rows of runs after a batch run. Batch runs are told by their id, which is a partition, so older ones are not read; the ids of
+    streams have no order among them, so their rows are told by their time. Jobs that take up every run once use ``runs.pending``."""
+    if not last_ingestion_id[:14].isdigit():
+        raise ValueError(f"{last_ingestion_id} is not the id of a batch run")
+    last = datetime.strptime((last_ingestion_id + "-000000")[:21], "%Y%m%d%H%M%S-%f")
+    own = F.col("ingestion_id").cast("string")
+    batch = own.rlike("^[0-9]")
+    return bronze.where((batch & (own > last_ingestion_id)) | (~batch & (F.col("ingestion_timestamp") > instant(last))))

@@ -1,7 +1,8 @@
 """The daily job: JSON lines to bronze, silver, gold, features, quality checks and models.
 
 Every layer is written once and the next one reads it back, so a lost executor repeats one layer
-at most and nothing is computed twice. Usage::
+at most and nothing is computed twice. Silver and gold take up the runs, of batches and of streams,
+that no job has taken up yet; a run that was ingested again has them built anew. Usage::
 
     spark-submit -m waybill.plans.daily --landing LANDING --lake LAKE [--models]
 """
@@ -10,7 +11,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,13 @@ from waybill.functions.digests import content_hash
 from waybill.functions.timing import instant, run_id
 from waybill.ml import forest, models
 from waybill.operators import dedup, quality
-from waybill.operators.contracts import accepted
+from waybill.operators import scd
+from waybill.operators.contracts import accepted, meets_bronze, meets_silver
 from waybill.operators.drift import drift_result, feature_drift
-from waybill.plans import bronze, features, gold, silver
+from waybill.plans import bronze, features, gold, incremental, runs, silver
 from waybill.schemas import DATASETS, RETENTION_DAYS
 from waybill.session import build_session, materialize
-from waybill.sources import readers, writers
+from waybill.sources import folders, readers, writers
 
 
 @dataclass(frozen=True)
@@ -52,20 +54,28 @@ class Lake:
         return f"{self.base}/logs"
 
 
+SILVER = ["gps_events", "orders", "weather"]
+GOLD = ["deliveries", "driver_daily_metrics", "region_hourly_metrics"]
+VERSIONS = "driver_versions"  # silver's history of driver profiles
+PROFILE = ["vehicle_type", "experience_years", "accident_history", "weather_sensitivity", "accident_risk", "region"]
+
+
 def ingest_all(spark: SparkSession, landing: str, lake: Lake, at: datetime) -> dict[str, DataFrame]:
-    """``landing/<dataset>`` of every dataset into bronze."""
-    return {
-        name: readers.read_layer(
-            spark,
-            bronze.ingest_jsonl(spark, name, f"{landing}/{name}", lake.base, at, lake.quarantine),
-            schema=bronze.bronze_schema(name),
-        ).drop("year", "month", "day")
-        for name in DATASETS
-    }
+    """``landing/<dataset>`` of every dataset into bronze; returns all of bronze, what streams wrote included."""
+    for name in DATASETS:
+        bronze.ingest_jsonl(spark, name, f"{landing}/{name}", lake.base, at, lake.quarantine)
+    return {name: enforced(runs.read_bronze(spark, lake.base, name), f"bronze {name}", meets_bronze) for name in DATASETS}
 
 
-def build_silver(spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, run: str) -> dict[str, DataFrame]:
-    """Typed, deduplicated tables; rejected rows go to quarantine with their reason."""
+def enforced(table: DataFrame, what: str, meets) -> DataFrame:
+    """The table, if it has the columns of its layer's contract."""
+    if not meets(table):
+        raise ValueError(f"{what} lacks columns of its contract: {table.columns}")
+    return table
+
+
+def quarantine_silver(raw: dict[str, DataFrame], lake: Lake, run: str) -> None:
+    """Rejected rows with their reason."""
     tagged = {
         "gps_events": silver.tagged_gps(raw["gps_events"]),
         "orders": silver.tagged_orders(raw["orders"]),
@@ -73,37 +83,100 @@ def build_silver(spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, run
     }
     for name, rows in tagged.items():
         writers.write_quarantine(silver.quarantine(rows, f"silver_{name}"), lake.quarantine, run)
-    built = {
-        "gps_events": silver.gps_events(accepted(tagged["gps_events"])),
-        "orders": silver.orders(raw["orders"]),
-        "weather": silver.weather(raw["weather_events"]),
-    }
-    sort = {"gps_events": ["event_timestamp", "event_id"], "orders": ["created_at"], "weather": ["start_time"]}
-    for name, table in built.items():
-        writers.write_silver(table, lake.silver(name), sort[name])
+
+
+def read_silver(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    tables = {name: readers.read_layer(spark, lake.silver(name)) for name in SILVER}
+    for name, table in tables.items():
+        enforced(table, f"silver {name}", lambda t, name=name: meets_silver(t, name))
+    return tables | {"drivers": readers.read_parquet(spark, lake.silver("drivers"))}
+
+
+def _driver_changes(drivers: DataFrame) -> DataFrame:
+    return drivers.select("driver_id", *PROFILE, "ingestion_timestamp")
+
+
+def build_silver(spark: SparkSession, raw: dict[str, DataFrame], lake: Lake, run: str) -> dict[str, DataFrame]:
+    """Typed, deduplicated tables from all of bronze; rejected rows go to quarantine with their reason."""
+    quarantine_silver(raw, lake, run)
+    for name, table in incremental.new_rows(raw).items():
+        writers.write_silver(table, lake.silver(name), incremental.TABLES[name][3], whole=True)
+    drivers = accepted(raw["drivers"])
     # the latest arrival of a driver is its profile
-    profiles = raw["drivers"].where("driver_id IS NOT NULL")
-    rest = [c for c in profiles.columns if c != "driver_id"]
-    newest = profiles.groupBy("driver_id").agg(
-        F.max_by(F.struct(*rest), F.struct("ingestion_timestamp", *[c for c in rest if c != "ingestion_timestamp"])).alias("p")
-    )
-    writers.write_parquet(newest.select("driver_id", "p.*"), lake.silver("drivers"))
-    return {name: readers.read_layer(spark, lake.silver(name)) for name in built} | {
-        "drivers": readers.read_parquet(spark, lake.silver("drivers"))
-    }
+    writers.write_parquet(incremental.refresh_drivers(drivers, None)[0], lake.silver("drivers"))
+    writers.write_parquet(scd.build_history(_driver_changes(drivers), "driver_id", PROFILE, "ingestion_timestamp"), lake.silver(VERSIONS))
+    return read_silver(spark, lake)
 
 
 def build_gold(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) -> dict[str, DataFrame]:
+    """The gold tables from all of silver; deliveries are dated by their creation, so that later runs can replace single days."""
     built = {
-        "deliveries": gold.deliveries_with_weather(tables["orders"], tables["drivers"], tables["weather"]),
-        "driver_daily_metrics": gold.driver_daily(tables["orders"], tables["gps_events"], with_distance=True),
-        "region_hourly_metrics": gold.region_hourly_full(tables["gps_events"], tables["orders"]),
+        "deliveries": (gold.deliveries_with_weather(tables["orders"], tables["drivers"], tables["weather"]), "created_at"),
+        "driver_daily_metrics": (gold.driver_daily(tables["orders"], tables["gps_events"], with_distance=True), None),
+        "region_hourly_metrics": (gold.region_hourly_full(tables["gps_events"], tables["orders"]), None),
     }
-    for name, table in built.items():
-        writers.write_gold(table, lake.gold(name))
+    for name, (table, ts) in built.items():
+        writers.write_gold(table, lake.gold(name), whole=True, ts=ts)
     return {name: spark.read.parquet(lake.gold(name)) for name in built}
 
 
+def take_up(spark: SparkSession, lake: Lake, taken: runs.Pending, at: datetime, oldest: date | None = None) -> None:
+    """Bring silver and gold up to date with some runs and commit them."""
+    paths = {name: lake.silver(name) for name in SILVER}
+    for (name, content), days in taken.contents().items():  # what a job that broke off was writing
+        _, ts, _, sort = incremental.TABLES[name]
+        writers.write_days(spark.read.parquet(content), paths[name], ts, days, sort)
+
+    raw = {name: runs.read_bronze(spark, lake.base, name, taken.of(name)) for name in DATASETS}
+    quarantine_silver(raw, lake, run_id(at))
+    merges = incremental.plan_silver(raw, paths)
+    changes = {name: merge.change for name, merge in merges.items()}
+    minutes = max(taken.longest_minutes, incremental.longest_minutes(changes["orders"].rows()))
+    new_drivers = materialize(accepted(raw["drivers"]), "new-drivers")
+    drivers, moved = incremental.refresh_drivers(new_drivers, readers.read_parquet(spark, lake.silver("drivers")))
+    versions = readers.read_parquet(spark, lake.silver(VERSIONS))
+    versions = materialize(scd.upsert(versions, _driver_changes(new_drivers), "driver_id", PROFILE, "ingestion_timestamp"), VERSIONS)
+    orders = incremental.dated_table(spark, paths["orders"], readers.read_layer(spark, paths["orders"]).schema)
+    which = incremental.touched(changes, materialize(moved, "moved-drivers"), orders, minutes).with_days(taken.gold_days())
+
+    attempt = runs.begin(spark, lake.base, merges, vars(which))
+    for merge in merges.values():
+        merge.apply(spark)
+    writers.write_parquet(drivers, lake.silver("drivers"))
+    writers.write_parquet(versions, lake.silver(VERSIONS))
+    incremental.refresh_gold(spark, {name: lake.gold(name) for name in GOLD}, paths, drivers, which, minutes, oldest)
+    runs.commit(spark, lake.base, taken, at, minutes, attempt)
+
+
+def _complete(spark: SparkSession, lake: Lake) -> bool:
+    """Whether there are tables to start from; those that are replaced as a whole must have been written to the end."""
+    whole = [lake.silver("drivers"), lake.silver(VERSIONS)]
+    return all(folders.exists(spark, f"{path}/_SUCCESS") for path in whole) and all(folders.exists(spark, lake.gold(name)) for name in GOLD)
+
+
+def bring_up_to_date(spark: SparkSession, lake: Lake, at: datetime, oldest: date | None = None, full: bool = False) -> None:
+    """Silver and gold over all runs in bronze: from the runs not taken up yet, or anew where there is nothing to start from, where
+    one of the runs has been ingested again, or when asked to."""
+    taken = runs.pending(spark, lake.base)
+    if full or taken.repeated or not _complete(spark, lake):
+        raw = {name: runs.read_bronze(spark, lake.base, name) for name in DATASETS}
+        tables = build_silver(spark, raw, lake, run_id(at))
+        build_gold(spark, retained(spark, tables, lake, oldest), lake)
+        runs.commit(spark, lake.base, taken, at, incremental.longest_minutes(tables["orders"]))
+    elif taken.rows or taken.attempted:
+        take_up(spark, lake, taken, at, oldest)
+    if oldest is not None:
+        path, first = lake.gold("deliveries"), f"{oldest:%Y%m%d}"
+        folders.drop_days(spark, path, {d for d in folders.held_days(spark, path) if d != folders.UNDATED and d < first})
+
+
+def retained(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake, oldest: date | None) -> dict[str, DataFrame]:
+    """Whole partitions beyond the retention are never opened."""
+    if oldest is None:
+        return tables
+    return tables | {name: readers.read_layer(spark, lake.silver(name), since=oldest) for name in ("orders", "gps_events")}
+
+
 def build_features(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake) -> dict[str, tuple[DataFrame, str]]:
     """Feature snapshots, each with its dataset hash.
 
@@ -185,12 +258,10 @@ def run(spark: SparkSession, landing: str, base: str, at: datetime, with_models:
     """One run over everything in ``landing``; returns the quality checks."""
     lake = Lake(base.rstrip("/"))
     raw = ingest_all(spark, landing, lake, at)
-    tables = build_silver(spark, raw, lake, run_id(at))
-    # whole partitions beyond the retention are never opened
     oldest = at.date() - timedelta(days=retention_days)
-    for name in ("orders", "gps_events"):
-        tables[name] = readers.read_layer(spark, lake.silver(name), since=oldest)
-    built = build_gold(spark, tables, lake)
+    bring_up_to_date(spark, lake, at, oldest)
+    tables = retained(spark, read_silver(spark, lake), lake, oldest)
+    built = {name: spark.read.parquet(lake.gold(name)) for name in GOLD}
     snapshots = build_features(spark, tables, lake)
     checks = check_quality(raw, tables, built, lake, at)
     writers.write_report(checks, quality.summary(checks), f"{lake.base}/reports/{run_id(at)}")

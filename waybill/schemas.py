@@ -80,4 +80,19 @@ MODEL_RUNS = _table(
     id=_S, model_name=_S, version=_S, feature_dataset_hash=_S, training_timestamp=_TS,
     metrics=T.MapType(_S, _D), run_id=_S, status=_S,
 )
-RUN_LOGS = {"data_lineage": DATA_LINEAGE, "dq_metrics": DQ_METRICS, "model_runs": MODEL_RUNS}
+# Which runs bronze holds, a row for each day of a run, and which of these rows later layers have taken up.
+INGESTED_RUNS = _table(
+    id=_S, dataset=_S, area=_S, ingestion_id=_S, day=_S, row_count=_L, record_timestamp=_TS,
+)
+PROCESSED_RUNS = _table(
+    id=_S, ingested_id=_S, dataset=_S, ingestion_id=_S, attempt=_S, longest_minutes=_L, record_timestamp=_TS,
+)
+# What an attempt is about to write, a row for each day of a table; of merged tables also where the new content of the days lies.
+ATTEMPTED_DAYS = _table(
+    id=_S, attempt=_S, layer=_S, table_name=_S, day=_S, content=_S, record_timestamp=_TS,
+)
+RUN_LOGS = {
+    "data_lineage": DATA_LINEAGE, "dq_metrics": DQ_METRICS, "model_runs": MODEL_RUNS,
+    "ingested_runs": INGESTED_RUNS, "processed_runs": PROCESSED_RUNS,
+    "attempted_days": ATTEMPTED_DAYS,
+}

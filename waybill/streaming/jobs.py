@@ -6,20 +6,22 @@ there and stops. Files, Kafka topics and tests share the same transformations.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime, timezone
+from datetime import date
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from waybill.functions.geo import assign_region
-from waybill.functions.timing import delivered_at, instant, is_late, with_date_levels
-from waybill.plans.bronze import stream_date_column
+from waybill.functions.timing import delivered_at, is_late, with_date_levels
+from waybill.plans.bronze import RAW_STREAM, note_run, stream_date_column
 from waybill.session import scratch_path
 from waybill.sources.readers import TOPICS, kafka_table
-from waybill.sources.writers import DATE_COLUMNS, write_bronze
+from waybill.sources.writers import DATE_COLUMNS, Written, write_bronze
 
 # Lateness allowed, hourly windows, pause between runs.
 WATERMARK = "15 minutes"
@@ -113,20 +115,30 @@ def start(
 
 
 def start_bronze(
-    stream: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = RUN_EVERY
+    stream: DataFrame, path: str, checkpoint: str, once: bool = True, every: str = RUN_EVERY,
+    noted: Callable[[Written], None] | None = None,
 ) -> StreamingQuery:
     """Append a stream to bronze as a batch run would: each batch has one moment and one id of its
     own, and a batch that is repeated replaces its own files. Records without a date fall under the
-    day their batch was written."""
+    day of their batch.
 
-    def write(batch: DataFrame, number: int) -> None:
-        at = datetime.now(timezone.utc)
-        rows = batch.withColumns({"ingestion_timestamp": instant(at), "ingestion_id": F.lit(f"stream-{number:012d}")})
-        column = stream_date_column(batch.columns)
-        day = F.lit(at.date())
-        write_bronze(rows, path, F.coalesce(F.to_date(column), day) if column else day)
+    The id names the writer, which is the checkpoint's query, and its batch: streams never replace
+    each other's batches. The moment is the one that Spark has put down for the batch before it ran,
+    so a repeated batch gets it again, whenever it runs. ``noted`` is told what each batch wrote.
+    """
+    timed = stream.withColumn("ingestion_timestamp", F.current_timestamp())
+    column = stream_date_column(stream.columns)
+    day = F.to_date("ingestion_timestamp")
 
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    def write(batch: DataFrame, number: int) -> None:
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run = f"stream-{writer}-{number:012d}"
+        rows = batch.withColumn("ingestion_id", F.lit(run))
+        written = write_bronze(rows, path, F.coalesce(F.to_date(column), day) if column else day, run)
+        if noted is not None:
+            noted(written)
+
+    writer = timed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
     return writer.start()
 
@@ -149,15 +161,19 @@ def drain(
             rows, dropped = batches.get(p.batchId, (0, 0))
             batches[p.batchId] = (max(rows, p.numInputRows), max(dropped, late))
 
-    while not query.awaitTermination(1):
-        collect()
+    errors = 0
+    try:
+        while not query.awaitTermination(1):
+            collect()
+    except StreamingQueryException:  # what its batches had written before stays and is counted
+        errors = 1
     collect()
     return Drained(
         path=path,
         total_records=sum(rows for rows, _ in batches.values()),
         batches_written=sum(1 for rows, _ in batches.values() if rows > 0),
         rows_dropped_late=sum(dropped for _, dropped in batches.values()),
-        errors=0 if query.exception() is None else 1,
+        errors=errors,
     )
 
 
@@ -179,12 +195,16 @@ def start_topics(
     stream's own files. Unreadable messages stay in bronze with their ``quarantine_reason``: each
     message is parsed once, and silver leaves them out.
     """
-    return {
-        topic: start_bronze(
-            kafka_table(spark, servers, topic), f"{lake}/raw_stream/{topic}", f"{lake}/checkpoints/{topic}", once, every
-        )
-        for topic in TOPICS
-    }
+    return {topic: start_topic(kafka_table(spark, servers, topic), topic, lake, once, every) for topic in TOPICS}
+
+
+def start_topic(stream: DataFrame, topic: str, lake: str, once: bool = True, every: str = RUN_EVERY) -> StreamingQuery:
+    """One topic's records into ``lake/raw_stream/<topic>``, each batch noted for the daily job."""
+
+    def noted(written: Written) -> None:
+        note_run(stream.sparkSession, lake, topic, RAW_STREAM, written)
+
+    return start_bronze(stream, f"{lake}/{RAW_STREAM}/{topic}", f"{lake}/checkpoints/{topic}", once, every, noted)
 
 
 def ingest_stats(spark: SparkSession, runs: dict[str, Drained]) -> DataFrame:
