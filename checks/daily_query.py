@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from checks.features_quality import RISK_FEATURES
 from checks.registry import Views, query_on_files
 from checks.silver_gold import DAILY, DEDUP, DELAY, ENDED, HOURLY, region_sql
+from waybill.functions import digests
 from waybill.plans import daily
 from waybill.schemas import DATASETS
-from waybill.session import scratch_path
+from waybill.session import materialize, scratch_path
 from waybill.sources import writers
+from waybill.sources.readers import read_layer
 
 AT = datetime(2024, 2, 1)
 
@@ -70,3 +72,57 @@ def daily_layers(spark, sf_dir, v: Views):
         for name in names
     ]
     return reduce(DataFrame.unionAll, counts)
+
+
+FIRST_TIME = "order_id % 3 = 0"
+FIRST_ARRIVALS = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, event_timestamp, order_id) AS rn
+  FROM (SELECT *, 0 AS arrival FROM gps_bronze WHERE {FIRST_TIME} UNION ALL SELECT *, 1 FROM gps_bronze)) WHERE rn = 1)"""
+
+
+@query_on_files(
+    "daily_two_runs",
+    f"""SELECT 'cleaned/orders' AS table_name, count(*) AS row_count, CAST(sum(order_id) AS BIGINT) AS checksum, true AS equals_full_build FROM orders_l
+UNION ALL SELECT 'cleaned/gps_events', count(*), CAST(sum(order_id) AS BIGINT), true FROM {FIRST_ARRIVALS}
+UNION ALL SELECT 'cleaned/weather', count(*), CAST(sum(weather_event_id) AS BIGINT), true FROM weather
+UNION ALL SELECT 'cleaned/driver_versions', count(*), CAST(sum(driver_id) AS BIGINT), true FROM drivers
+UNION ALL SELECT 'gold/deliveries', count(*), CAST(sum(order_id) AS BIGINT), true FROM orders_l
+UNION ALL SELECT 'gold/driver_daily_metrics', count(*), CAST(sum(n) AS BIGINT), true
+  FROM (SELECT driver_id, CAST(created_at AS DATE) AS d, count(*) AS n FROM orders_l GROUP BY ALL)
+UNION ALL SELECT 'gold/region_hourly_metrics', count(*), CAST(sum(n) AS BIGINT), true FROM (SELECT g.n, g.region FROM
+  (SELECT {region_sql('latitude', 'longitude')} AS region, date_trunc('hour', event_timestamp) AS h, count(*) AS n FROM {FIRST_ARRIVALS} GROUP BY ALL) g
+  FULL JOIN (SELECT {region_sql('delivery_lat', 'delivery_lon')} AS region, date_trunc('hour', {ENDED}) AS h FROM orders_l
+    WHERE actual_delivery_minutes IS NOT NULL GROUP BY ALL) d ON g.region = d.region AND g.h = d.h)""",
+)
+def daily_two_runs(spark, sf_dir, v: Views):
+    """A third of all records in a first run, everything in a second one; then the same bronze in one build."""
+    base = scratch_path(spark, "two-runs")
+    write_landing(v, f"{base}/all")
+    lake = daily.Lake(f"{base}/lake")
+    for n, at in enumerate((AT, AT + timedelta(days=1))):
+        source = f"{base}/landing{n}"
+        for name, schema in DATASETS.items():
+            rows = spark.read.schema(schema).json(f"{base}/all/{name}")
+            part = {"orders": "order_id % 3 = 0", "gps_events": FIRST_TIME, "weather_events": "weather_event_id % 3 = 0"}.get(name)
+            writers.write_jsonl(rows.where(part) if part and n == 0 else rows, f"{source}/{name}")
+        daily.ingest_all(spark, source, lake, at)
+        daily.bring_up_to_date(spark, lake, at)
+    sums = {
+        "cleaned/orders": "order_id", "cleaned/gps_events": "order_id", "cleaned/weather": "weather_event_id", "cleaned/driver_versions": "driver_id",
+        "gold/deliveries": "order_id", "gold/driver_daily_metrics": "deliveries_completed", "gold/region_hourly_metrics": "gps_events_count",
+    }
+
+    def state():
+        out = None
+        for name, column in sums.items():
+            table = read_layer(spark, f"{lake.base}/{name}")
+            own = table.agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col(column).cast("long")).alias("checksum"))
+            own = own.crossJoin(digests.content_hash(table).select("content_hash"))  # two single rows
+            own = own.select(F.lit(name).alias("table_name"), "*")
+            out = own if out is None else out.unionAll(own)
+        return out
+
+    stepwise = materialize(state(), "stepwise")
+    daily.bring_up_to_date(spark, lake, AT, full=True)
+    full = state().select("table_name", F.col("content_hash").alias("full_hash"))
+    joined = stepwise.join(full, "table_name")
+    return joined.select("table_name", "row_count", "checksum", F.col("content_hash").eqNullSafe(F.col("full_hash")).alias("equals_full_build"))

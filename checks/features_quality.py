@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.registry import Views, query, rounded
-from checks.silver_gold import DEDUP, DELAY, ENDED, HOURLY, km_sql
+from checks.silver_gold import DEDUP, DELAY, ENDED, HOURLY, km_sql, region_sql
 from waybill.functions import digests
-from waybill.operators import drift, history, quality, tracks, weather
+from waybill.functions.geo import assign_region
+from waybill.operators import drift, history, quality, sketches, tracks, weather
 from waybill.plans import features, gold, silver
+from waybill.session import materialize
 
 APART = "sqrt(power(delivery_lat - pickup_lat, 2) + power(delivery_lon - pickup_lon, 2))"
 DELAY_FEATURES = f"""SELECT order_id, o.driver_id, order_type, experience_years, accident_history, weather_sensitivity,
@@ -257,6 +261,11 @@ FROM (SELECT sum(CAST(is_current AS INT)) OVER w AS c, sum(CAST(NOT is_current A
   FROM drift_sample WHERE {name} IS NOT NULL WINDOW w AS (ORDER BY {name} RANGE UNBOUNDED PRECEDING))"""
 
 
+def exact_ks_sql(name: str) -> str:
+    """The statistic with all its digits, for what is computed from it."""
+    return ks_sql(name).replace("round(max(abs(c / nc - b / nb)), 6)", "max(abs(c / nc - b / nb))")
+
+
 def _drift(v: Views):
     sample = v["drift_sample"]
     return drift.feature_drift(
@@ -272,6 +281,54 @@ def dq_drift(v: Views):
     )
 
 
+# the Kolmogorov series, from the statistic of the exact samples
+DECISION = """SELECT "column", round(ks_statistic, 6) AS ks_statistic, round(CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(least(
+    list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * k * k * lam * lam))), 1.0), 0.0) END, 6) AS p_value
+FROM (SELECT *, (sqrt(n1 * n2 / (n1 + n2)) + 0.12 + 0.11 / sqrt(n1 * n2 / (n1 + n2))) * ks_statistic AS lam FROM ({ks}) AS s,
+  (SELECT CAST(count_if(NOT is_current) AS DOUBLE) AS n1, CAST(count_if(is_current) AS DOUBLE) AS n2 FROM drift_sample WHERE value IS NOT NULL AND NOT isnan(value)) AS n)"""
+
+
+@query(
+    "dq_drift_decision",
+    "SELECT *, p_value < 0.05 AS is_drifted FROM (" + DECISION.format(ks=exact_ks_sql("value")) + "\nUNION ALL " + DECISION.format(ks=exact_ks_sql("value_shifted")) + ") AS d",
+)
+def dq_drift_decision(v: Views):
+    """The probability of the distance and what follows from it."""
+    return rounded(_drift(v).select("column", "ks_statistic", "p_value", "is_drifted"))
+
+
+@query(
+    "dq_stored_drift",
+    "SELECT \"column\", true AS near, p_value < 0.05 AS is_drifted, baseline_rows, current_rows FROM (" + DECISION.format(ks=exact_ks_sql("value")) + "\nUNION ALL "
+    + DECISION.format(ks=exact_ks_sql("value_shifted")) + """) AS d, (SELECT count_if(NOT is_current)::BIGINT AS baseline_rows, count_if(is_current)::BIGINT AS current_rows
+FROM drift_sample WHERE value IS NOT NULL AND NOT isnan(value)) AS n""",
+)
+def dq_stored_drift(v: Views):
+    """The same decision from the distributions that two snapshots have stored; `near` says that the distance is within its error."""
+    columns = ["value", "value_shifted"]
+    sample = v["drift_sample"]
+    stored = materialize(sketches.distribution(sample.where("NOT is_current"), columns), "stored-distribution")
+    told = sketches.stored_drift(sketches.distribution(sample.where("is_current"), columns), stored)
+    exact = _drift(v).select("column", F.col("ks_statistic").alias("exact"))
+    near = F.abs(F.col("ks_statistic") - F.col("exact")) <= sketches.DISTANCE_ERROR
+    return told.join(exact, "column").select("column", near.alias("near"), "is_drifted", "baseline_rows", "current_rows")
+
+
+@query(
+    "region_daily_sketched",
+    f"""SELECT {region_sql('latitude', 'longitude')} AS region, CAST(event_timestamp AS DATE) AS metric_date, count(event_id) AS gps_events_count, true AS near
+FROM gps_bronze GROUP BY ALL""",
+)
+def region_daily_sketched(v: Views):
+    """Region days merged from stored hourly sketches; `near` says that the drivers are within three standard errors of the exact number."""
+    gps = v["gps_bronze"]
+    hours = materialize(sketches.region_hour_sketches(gps), "hour-sketches")
+    exact = gps.groupBy(assign_region("latitude", "longitude").alias("region"), F.to_date("event_timestamp").alias("metric_date")).agg(F.count_distinct("driver_id").alias("exact"))
+    off = F.abs(F.col("active_drivers") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * sketches.distinct_error() * F.col("exact"))
+    days = sketches.daily_drivers(hours).join(exact, ["region", "metric_date"])
+    return days.select("region", "metric_date", "gps_events_count", off.alias("near"))
+
+
 LATE = f"""SELECT CAST(count_if(coalesce(event_timestamp > ended, false)) AS BIGINT) AS late_count, count(*) AS total_events,
   round(count_if(coalesce(event_timestamp > ended, false)) / count(*), 6) AS late_ratio
 FROM {DEDUP} g LEFT JOIN (SELECT order_id, {ENDED} AS ended FROM orders_l) o ON g.order_id = o.order_id"""

@@ -175,6 +175,21 @@ def scd2_drivers(v: Views):
     )
 
 
+@query(
+    "orders_as_of_driver",
+    """WITH versions AS (SELECT driver_id, vehicle_type, change_ts AS effective_date
+FROM (SELECT *, lag(vehicle_type) OVER (PARTITION BY driver_id ORDER BY change_ts) AS previous FROM driver_changes)
+WHERE vehicle_type IS DISTINCT FROM previous)
+SELECT order_id, o.driver_id, created_at, vehicle_type, effective_date FROM orders_l o
+ASOF LEFT JOIN versions v ON o.driver_id = v.driver_id AND o.created_at >= v.effective_date""",
+)
+def orders_as_of_driver(v: Views):
+    """Every order with the version of its driver that was valid when it was created."""
+    versions = scd.build_history(v["driver_changes"], "driver_id", ["vehicle_type"], "change_ts")
+    orders = v["orders_l"].select("order_id", "driver_id", "created_at")
+    return scd.valid_at(orders, versions, "driver_id", "created_at", ["vehicle_type"])
+
+
 @query(
     "scd2_upsert_stats",
     """WITH kept AS (SELECT driver_id, version_no, change_ts FROM (SELECT *, lag(vehicle_type) OVER (PARTITION BY driver_id

@@ -107,6 +107,49 @@ def stream_dedup(spark, sf_dir, v: Views):
     return jobs.table(spark, run, StructType(v["gps_bronze"].schema.fields)).select("event_id")
 
 
+# four batches in the order of time, but every tenth event comes with the last one
+BATCH_NO = """CASE WHEN order_id % 10 = 0 OR event_timestamp >= TIMESTAMP '2024-01-24' THEN 3
+  WHEN event_timestamp >= TIMESTAMP '2024-01-16' THEN 2 WHEN event_timestamp >= TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END"""
+
+
+@query_on_files(
+    "stream_late_side",
+    f"""WITH b AS (SELECT event_id, order_id, event_timestamp, {BATCH_NO} AS batch_no FROM gps_bronze),
+marks AS (SELECT n.batch_no, max(e.event_timestamp) - INTERVAL 15 MINUTE AS mark FROM (SELECT DISTINCT batch_no FROM b) n
+  LEFT JOIN (SELECT batch_no, max(event_timestamp) AS event_timestamp FROM b GROUP BY ALL) e ON e.batch_no < n.batch_no GROUP BY ALL),
+told AS (SELECT b.*, mark, coalesce(event_timestamp <= mark, false) AS late FROM b JOIN marks USING (batch_no)),
+ranked AS (SELECT *, lag(event_timestamp) OVER w AS before, lag(batch_no) OVER w AS before_no FROM told WHERE NOT late
+  WINDOW w AS (PARTITION BY event_id ORDER BY batch_no, event_timestamp))
+SELECT event_id, order_id, event_timestamp, 'late' AS arrival FROM told WHERE late
+UNION ALL SELECT event_id, order_id, event_timestamp, 'on_time' FROM ranked
+WHERE before IS NULL OR (before_no < batch_no AND before + INTERVAL 15 MINUTE <= mark)""",
+)
+def stream_late_side(spark, sf_dir, v: Views):
+    """Events in several batches out of order: those on time once each, and the late ones beside them."""
+    gps = v["gps_bronze"].drop("ingestion_timestamp")
+    files = scratch_path(spark, "late-side")
+    for n in range(4):
+        gps.where(F.expr(BATCH_NO) == n).coalesce(1).write.mode("append").parquet(files)
+    told = jobs.dedup_with_late(jobs.file_stream(spark, files, gps.schema, files_per_batch=1), buckets=16)
+    run = jobs.drain(told, "stream-late-side", ["arrival"])
+    return jobs.table(spark, run, told.schema).select("event_id", "order_id", "event_timestamp", "arrival")
+
+
+@query_on_files(
+    "stream_dedup_rows",
+    """SELECT event_id, order_id, driver_id, event_timestamp FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_timestamp, order_id) AS rn
+FROM gps_bronze) WHERE rn = 1""",
+)
+def stream_dedup_rows(spark, sf_dir, v: Views):
+    """One batch: of every event the earliest row, with all of it."""
+    gps = v["gps_bronze"].drop("ingestion_timestamp")
+    files = scratch_path(spark, "dedup-rows")
+    gps.coalesce(1).write.parquet(files)
+    told = jobs.dedup_with_late(jobs.file_stream(spark, files, gps.schema), buckets=16)
+    run = jobs.drain(told, "stream-dedup-rows", ["arrival"])
+    return jobs.table(spark, run, told.schema).select("event_id", "order_id", "driver_id", "event_timestamp")
+
+
 @query_on_files(
     "stream_region_hourly",
     f"""SELECT * FROM (SELECT {region_sql('latitude', 'longitude')} AS region, date_trunc('hour', event_timestamp) AS metric_hour,

@@ -101,3 +101,20 @@ def test_periodic_trigger(spark, batches, tmp_path, ts):
         assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     finally:
         query.stop()
+
+
+def test_late_rows_go_to_the_side(spark, batches, ts):
+    stream = batches(
+        [(1, 1, 1, 40.8, ts(0)), (2, 1, 1, 40.8, ts(1)), (1, 1, 9, 40.8, ts(3)), (7, 1, 1, 40.8, None)],
+        [(2, 1, 1, 40.8, ts(1)), (3, 1, 1, 40.8, ts(120)), (7, 1, 1, 40.8, None)],
+        [(5, 1, 1, 40.8, ts(121)), (4, 1, 1, 40.8, ts(5)), (1, 1, 1, 40.8, ts(2)), (3, 1, 1, 40.8, ts(119))],
+        [(4, 1, 1, 40.8, ts(5)), (6, 1, 1, 40.8, ts(300))],
+        [(3, 1, 1, 40.8, ts(290)), (8, 1, 1, 40.8, ts(285))],
+    )
+    told = jobs.dedup_with_late(stream, buckets=3)
+    run = jobs.drain(told, "t-late-side", ["arrival"])
+    got = sorted((r.arrival, r.event_id, r.driver_id) for r in jobs.table(spark, run, told.schema).collect())
+    late = [("late", e, "D1") for e in ("E1", "E4", "E4", "E8")]
+    # E1, E2 and E3 again within the delay are duplicates; E3 comes back when its first is forgotten, and so does the undated E7
+    assert got == late + [("on_time", e, "D1") for e in ("E1", "E2", "E3", "E3", "E5", "E6", "E7", "E7")]
+    assert run.total_records == len(got) + 3

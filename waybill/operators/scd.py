@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.timing import MICROS_PER_DAY, micros
+from waybill.operators.asof import as_of
 from waybill.operators.ordered import neighbour
 from waybill.session import materialize
 
@@ -64,6 +65,14 @@ def upsert(dimension: DataFrame, updates: DataFrame, key: str, attributes: list[
     return dimension.join(changed, same, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
 
 
+def valid_at(facts: DataFrame, dimension: DataFrame, key: str, ts: str, attributes: list[str]) -> DataFrame:
+    """Facts with the attributes of the version that was valid at their moment, and its ``effective_date``; nulls before the first one.
+
+    Versions follow each other without gaps, so the latest one begun is the valid one.
+    """
+    return as_of(facts, dimension, key, ts, EFFECTIVE, [*attributes, EFFECTIVE])
+
+
 def upsert_summary(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Versions inserted, updated (end or state differs) and closed by an upsert."""
     old = before.select(key, EFFECTIVE, F.col(END).alias("__old_end"), F.lit(True).alias("__old"))

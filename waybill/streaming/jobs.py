@@ -6,15 +6,18 @@ there and stops. Files, Kafka topics and tests share the same transformations.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import StringType, StructField, StructType
 
 from waybill.functions.geo import assign_region
 from waybill.functions.timing import delivered_at, is_late, with_date_levels
@@ -27,6 +30,7 @@ from waybill.sources.writers import DATE_COLUMNS, Written, write_bronze
 WATERMARK = "15 minutes"
 HOUR = "1 hour"
 RUN_EVERY = "300 seconds"
+BUCKETS = 256  # states over which the keys of a deduplication with late rows are dealt
 
 
 def file_stream(
@@ -51,6 +55,51 @@ def dedup(stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp",
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
+ON_TIME, LATE = "on_time", "late"
+
+
+def dedup_with_late(
+    stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp", delay: str = WATERMARK, buckets: int = BUCKETS
+) -> DataFrame:
+    """First row per key within the watermark, and every row that comes behind the watermark, told apart by ``arrival``.
+
+    Spark's own deduplication loses late rows without a trace; here they go on, so a sink partitioned by ``arrival`` has them in a side
+    table, and on-time rows, late rows and duplicates make up the input. Keys are dealt by hash over ``buckets``, each with one state:
+    the keys it has seen and when the watermark will have passed them; with its next rows a bucket drops what has expired, so the state
+    holds the keys of about one delay. (Timers would wake a bucket without rows, but keep a run to the end of its input from ending.)
+    The rows of a bucket and batch come in any order; the earliest moment of a key stays. A row without a moment is never late
+    and remembered as one at the watermark, so in a stream's first batch it is forgotten at once; null is a key.
+    """
+    names, kept_ms = stream.columns, int(pd.Timedelta(delay).total_seconds() * 1000)
+    own = stream.select(*names, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket"), F.unix_micros(ts).alias("__at"), F.col(key).cast("string").alias("__id"))
+
+    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed = state.getCurrentWatermarkMs()
+        ids, until = state.get if state.exists else ([], [])
+        seen = {i: u for i, u in zip(ids, until, strict=True) if u > passed}
+        parts = [f for f in frames if len(f)]
+        if parts:
+            rows = pd.concat(parts).sort_values("__at", kind="stable", na_position="last")
+            behind = (rows["__at"] <= passed * 1000) & (passed > 0)
+            fresh = rows[~behind].drop_duplicates("__id")
+            fresh = fresh.assign(__id=fresh["__id"].astype(object).where(fresh["__id"].notna(), None))
+            fresh = fresh[np.array([i not in seen for i in fresh["__id"]], bool)]
+            ends = (fresh["__at"] // 1000).fillna(passed) + kept_ms
+            seen |= dict(zip(fresh["__id"], ends.astype("int64").tolist(), strict=True))
+            for part, arrival in ((fresh, ON_TIME), (rows[behind], LATE)):
+                if len(part):
+                    yield part[names].assign(arrival=arrival)
+        if seen:
+            state.update((list(seen), list(seen.values())))
+        elif state.exists:
+            state.remove()
+
+    out = StructType([*stream.schema.fields, StructField("arrival", StringType())])
+    held = "ids array<string>, until array<long>"
+    marked = own.withWatermark(ts, delay)
+    return marked.groupBy("__bucket").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.NoTimeout)
+
+
 def region_hourly(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
     """Distinct drivers and events per region and hour, exact, once an hour is closed.
 
