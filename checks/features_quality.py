@@ -395,3 +395,28 @@ def row_count_lineage(v: Views):
     return rounded(quality.lineage(counts, STEPS))
 
 
+
+
+EDITED = """SELECT event_id, order_id, driver_id, event_timestamp, CASE WHEN order_id % 1777 = 5 THEN accuracy + 1 ELSE accuracy END AS accuracy
+FROM gps_bronze WHERE event_timestamp < TIMESTAMP '2024-01-27' AND order_id % 2503 <> 1"""
+TAKEN = "SELECT event_id, order_id, driver_id, event_timestamp, accuracy FROM gps_bronze WHERE event_timestamp >= TIMESTAMP '2024-01-03'"
+
+
+@query(
+    "snapshot_changed_days",
+    f"""WITH a AS ({TAKEN}), b AS ({EDITED}),
+differ AS (SELECT DISTINCT CAST(event_timestamp AS DATE) AS d FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)))
+SELECT strftime(d, '%Y-%m-%d') AS label, CASE WHEN x.n IS NULL THEN 'added' WHEN y.n IS NULL THEN 'removed' ELSE 'changed' END AS change,
+  x.n AS rows_before, y.n AS rows_after FROM differ
+LEFT JOIN (SELECT CAST(event_timestamp AS DATE) AS d, count(*) AS n FROM a GROUP BY 1) x USING (d)
+LEFT JOIN (SELECT CAST(event_timestamp AS DATE) AS d, count(*) AS n FROM b GROUP BY 1) y USING (d)""",
+)
+def snapshot_changed_days(v: Views):
+    """Days in which two snapshots differ, found from their digest trees alone."""
+    gps = v["gps_bronze"]
+    columns = ["event_id", "order_id", "driver_id", "event_timestamp", "accuracy"]
+    taken = gps.where("event_timestamp >= TIMESTAMP '2024-01-03'").select(*columns)
+    edited = gps.where("event_timestamp < TIMESTAMP '2024-01-27' AND order_id % 2503 <> 1")
+    edited = edited.withColumn("accuracy", F.expr("CASE WHEN order_id % 1777 = 5 THEN accuracy + 1 ELSE accuracy END")).select(*columns)
+    trees = [materialize(digests.digest_tree(t, "event_timestamp"), "digest-tree") for t in (taken, edited)]
+    return digests.changed_days(*trees)

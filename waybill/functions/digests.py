@@ -57,18 +57,63 @@ def _canonical_text(name: str, kind: T.DataType) -> Column:
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("null"))
 
 
+def _row_digest(df: DataFrame) -> Column:
+    """The first 60 bits of an MD5 over canonical texts, so any engine can redo it."""
+    texts = [_canonical_text(f.name, f.dataType) for f in sorted(df.schema.fields, key=lambda f: f.name)]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("decimal(28,0)")
+
+
+def _content(digest: Column) -> list[Column]:
+    """Row count and sum of row digests: order-insensitive, combined in the map tasks. The 19-digit digests are summed as 38-digit
+    decimals, which 10^19 rows cannot overflow."""
+    total = F.coalesce(F.sum(digest), F.lit(0)).cast("decimal(38,0)").cast("string")
+    return [F.count(F.lit(1)).alias("n_rows"), total.alias("content_hash")]
+
+
 def content_hash(df: DataFrame) -> DataFrame:
-    """Order-insensitive digest of a table's content: one map-side combined sum of row digests.
+    """Order-insensitive digest of a table's content: one map-side combined sum of row digests."""
+    return df.agg(*_content(_row_digest(df)))
+
 
-    The row digest is the first 60 bits of an MD5 over canonical texts, so any engine can redo
-    it. The 19-digit digests are summed as 38-digit decimals, which 10^19 rows cannot overflow.
+# levels of a digest tree, each label a prefix of those below it
+LEVELS = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd"}
+UNDATED = "undated"
+
+
+def digest_tree(df: DataFrame, ts: str) -> DataFrame:
+    """(level, label, n_rows, digest): the content of every day, month and year of a table, a snapshot's small companion.
+
+    A day's digest is that of its rows; a month's follows from its days' and a year's from its months', so the table is read once.
+    Rows without a date are a day, month and year of their own.
     """
-    texts = [_canonical_text(f.name, f.dataType) for f in sorted(df.schema.fields, key=lambda f: f.name)]
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10).cast("decimal(28,0)")
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(digest), F.lit(0)).cast("decimal(38,0)").cast("string").alias("content_hash"),
-    )
+    day = F.coalesce(F.date_format(ts, LEVELS["day"]), F.lit(UNDATED))
+    rows = df.select(day.alias("label"), _row_digest(df).alias("__digest"))
+    tree = below = rows.groupBy("label").agg(*_content(F.col("__digest"))).select(F.lit("day").alias("level"), "label", "n_rows", F.col("content_hash").alias("digest"))
+    for level, size in (("month", 7), ("year", 4)):
+        children = F.sort_array(F.collect_list(F.concat_ws(":", "label", "n_rows", "digest")))  # the days of a month, the months of a year
+        label = F.when(F.col("label") == UNDATED, UNDATED).otherwise(F.substring("label", 1, size))
+        below = below.groupBy(label.alias("label")).agg(F.sum("n_rows").alias("n_rows"), F.sha2(F.array_join(children, "|"), 256).alias("digest"))
+        below = below.select(F.lit(level).alias("level"), "label", "n_rows", "digest")
+        tree = tree.unionByName(below)
+    return tree
+
+
+def changed_days(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(label, change, rows_before, rows_after): the days in which two digest trees differ: added, removed or changed.
+
+    From the years down: months are compared in years that differ, days in such months, so equal branches of stored trees are passed
+    over as a whole.
+    """
+    branch, parent = None, F.col("label")
+    for level, size in (("year", 4), ("month", 7), ("day", 10)):
+        old, new = (t.where(F.col("level") == level).select("label", F.col("n_rows").alias(n), F.col("digest").alias(d)) for t, n, d in ((before, "rows_before", "d_old"), (after, "rows_after", "d_new")))
+        if branch is not None:
+            old, new = (t.join(branch, parent == F.col("__branch"), "left_semi") for t in (old, new))
+        differ = old.join(new, "label", "full").where("NOT (d_old <=> d_new)")
+        branch = differ.select(F.col("label").alias("__branch"))
+        parent = F.when(F.col("label") == UNDATED, UNDATED).otherwise(F.substring("label", 1, size))
+    change = F.when(F.col("d_old").isNull(), "added").when(F.col("d_new").isNull(), "removed").otherwise("changed")
+    return differ.select("label", change.alias("change"), "rows_before", "rows_after")
 
 
 def file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -191,3 +191,9 @@ def lineage(
     return known.withColumn("variance", variance).withColumn(
         "is_valid", F.coalesce(F.col("variance") <= threshold, F.lit(False))
     )
+
+
+def lineage_result(steps: DataFrame, stage: str, threshold: float = LINEAGE_VARIANCE) -> DataFrame:
+    """The check row over the steps of a lineage: WARN when a stage lost or gained more rows than allowed."""
+    worst = steps.agg(F.count_if(~F.col("is_valid")).alias("n"), F.max("variance").alias("v"))
+    return _result(worst, "row_count_lineage", stage, F.when(F.col("n") > 0, WARN).otherwise(PASS), F.col("v"), threshold, F.concat(F.col("n").cast("string"), F.lit(" steps beyond the threshold")))

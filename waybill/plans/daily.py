@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from waybill.functions.digests import content_hash
 from waybill.functions.timing import instant, run_id
 from waybill.ml import forest, models
-from waybill.operators import dedup, quality
-from waybill.operators import scd
+from waybill.operators import dedup, quality, scd, sketches
 from waybill.operators.contracts import accepted, meets_bronze, meets_silver
 from waybill.operators.drift import drift_result, feature_drift
 from waybill.plans import bronze, features, gold, incremental, runs, silver
@@ -56,6 +55,7 @@ class Lake:
 
 SILVER = ["gps_events", "orders", "weather"]
 GOLD = ["deliveries", "driver_daily_metrics", "region_hourly_metrics"]
+MEASURED = ["delay_minutes", "route_distance_km"]  # columns of deliveries that are watched for drift
 VERSIONS = "driver_versions"  # silver's history of driver profiles
 PROFILE = ["vehicle_type", "experience_years", "accident_history", "weather_sensitivity", "accident_risk", "region"]
 
@@ -198,9 +198,10 @@ def build_features(spark: SparkSession, tables: dict[str, DataFrame], lake: Lake
 
 def check_quality(
     raw: dict[str, DataFrame], tables: dict[str, DataFrame], built: dict[str, DataFrame], lake: Lake, now: datetime,
-    baseline: DataFrame | None = None,
+    baseline: DataFrame | None = None, drifted: DataFrame | None = None,
 ) -> DataFrame:
-    """All checks as one table, with a report and a log entry per check."""
+    """All checks as one table, with a report and a log entry per check. ``drifted`` is the comparison with the run before, from
+    stored distributions; a ``baseline`` is compared row by row."""
     orders, gps = tables["orders"], tables["gps_events"]
     checks = [
         quality.row_count(orders, "silver_orders", at_least=1),
@@ -211,9 +212,12 @@ def check_quality(
         quality.freshness(gps, "event_timestamp", "silver_gps_events", now),
     ]
     if baseline is not None:
-        measured = ["delay_minutes", "route_distance_km"]
-        drifted = feature_drift(built["deliveries"], baseline, measured, "gold_deliveries")
-        checks.append(drift_result(drifted, "gold_deliveries", measured))
+        drifted = feature_drift(built["deliveries"], baseline, MEASURED, "gold_deliveries")
+    if drifted is not None:
+        checks.append(drift_result(drifted, "gold_deliveries", MEASURED))
+    counts = quality.stage_counts({"bronze_gps_events": raw["gps_events"], "silver_gps_events": gps, "gold_deliveries": built["deliveries"]})
+    counts = materialize(counts, "stage-counts")  # one scan of each stage, read by the log and by the lineage check
+    checks.append(quality.lineage_result(quality.lineage(counts, [("bronze_gps_events", "silver_gps_events")]), "silver_gps_events"))
     report = materialize(quality.report(checks, now), "quality")  # read by the log and by the report
     writers.append_log(
         report.select(
@@ -229,7 +233,6 @@ def check_quality(
         lake.logs,
         "dq_metrics",
     )
-    counts = quality.stage_counts({"bronze_gps_events": raw["gps_events"], "silver_gps_events": gps, "gold_deliveries": built["deliveries"]})
     writers.append_log(
         counts.select("stage", F.col("stage").alias("dataset"), "row_count", instant(now).alias("record_timestamp")),
         lake.logs,
@@ -238,6 +241,19 @@ def check_quality(
     return report
 
 
+def drift_since_last(spark: SparkSession, deliveries: DataFrame, lake: Lake, run: str) -> DataFrame | None:
+    """Store this run's distributions of gold and compare them with those of the run before; no row of an earlier snapshot is read."""
+    path, own = f"{lake.base}/profiles/deliveries", materialize(sketches.distribution(deliveries, MEASURED), "profile")
+    before = None
+    if folders.exists(spark, path):
+        known = spark.read.parquet(path).withColumn("run", F.col("run").cast("string")).where(F.col("run") < run)
+        last = known.agg(F.max("run")).first()[0]
+        before = None if last is None else known.where(F.col("run") == last)
+    drifted = None if before is None else materialize(sketches.stored_drift(own, before), "drift")
+    own.withColumn("run", F.lit(run)).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+    return drifted
+
+
 def train_models(snapshots: dict[str, tuple[DataFrame, str]], lake: Lake, at: datetime) -> None:
     """The three models; their metrics go to the run log."""
     version = run_id(at)
@@ -263,7 +279,7 @@ def run(spark: SparkSession, landing: str, base: str, at: datetime, with_models:
     tables = retained(spark, read_silver(spark, lake), lake, oldest)
     built = {name: spark.read.parquet(lake.gold(name)) for name in GOLD}
     snapshots = build_features(spark, tables, lake)
-    checks = check_quality(raw, tables, built, lake, at)
+    checks = check_quality(raw, tables, built, lake, at, drifted=drift_since_last(spark, built["deliveries"], lake, run_id(at)))
     writers.write_report(checks, quality.summary(checks), f"{lake.base}/reports/{run_id(at)}")
     if with_models:
         train_models(snapshots, lake, at)
