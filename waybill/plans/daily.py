@@ -48,6 +48,10 @@ class Lake:
     def quarantine(self) -> str:
         return f"{self.base}/quarantine"
 
+    @property
+    def models(self) -> str:
+        return f"{self.base}/models"
+
     @property
     def logs(self) -> str:
         return f"{self.base}/logs"
@@ -255,20 +259,36 @@ def drift_since_last(spark: SparkSession, deliveries: DataFrame, lake: Lake, run
 
 
 def train_models(snapshots: dict[str, tuple[DataFrame, str]], lake: Lake, at: datetime) -> None:
-    """The three models; their metrics go to the run log."""
+    """The three models; the trained pipelines are kept by version and their metrics go to the run log."""
     version = run_id(at)
     delay, delay_hash = snapshots["delay_model_features_v1"]
     eta, eta_hash = snapshots["eta_model_features_v1"]
     risk, risk_hash = snapshots["driver_risk_features_v1"]
+    delay_model, delay_result = models.train_delay_model(delay)
+    eta_model, eta_result = models.train_eta_model(eta)
+    models.save(delay_model, lake.models, models.DELAY_MODEL, version)
+    models.save(eta_model, lake.models, models.ETA_MODEL, version)
     results = [
-        (models.DELAY_MODEL, delay_hash, models.train_delay_model(delay)[1]),
-        (models.ETA_MODEL, eta_hash, models.train_eta_model(eta)[1]),
+        (models.DELAY_MODEL, delay_hash, delay_result),
+        (models.ETA_MODEL, eta_hash, eta_result),
         (models.RISK_MODEL, risk_hash, forest.risk_summary(forest.risk_anomalies(risk))),
     ]
     for name, digest, result in results:
         writers.append_log(models.run_record(name, version, digest, result, at), lake.logs, "model_runs")
 
 
+def score_snapshots(spark: SparkSession, snapshots: dict[str, tuple[DataFrame, str]], lake: Lake) -> list[str]:
+    """Predictions of the newest stored models for this run's snapshots, one folder per snapshot; models without a version are skipped."""
+    log, written = writers.read_log(spark, lake.logs, "model_runs"), []
+    for name, table in ((models.DELAY_MODEL, "delay_model_features_v1"), (models.ETA_MODEL, "eta_model_features_v1")):
+        version = models.newest_version(log, name)
+        if version is not None:
+            rows, digest = snapshots[table]
+            scored = models.score(rows, models.load(lake.models, name, version), name).withColumn("model_version", F.lit(version))
+            written.append(writers.write_features(scored, f"{lake.base}/predictions", name, digest))
+    return written
+
+
 def run(spark: SparkSession, landing: str, base: str, at: datetime, with_models: bool = False,
         retention_days: int = RETENTION_DAYS) -> DataFrame:
     """One run over everything in ``landing``; returns the quality checks."""
@@ -283,6 +303,7 @@ def run(spark: SparkSession, landing: str, base: str, at: datetime, with_models:
     writers.write_report(checks, quality.summary(checks), f"{lake.base}/reports/{run_id(at)}")
     if with_models:
         train_models(snapshots, lake, at)
+    score_snapshots(spark, snapshots, lake)
     return checks
 
 
