@@ -4,19 +4,26 @@ One row per document in ascending doc_id order: `doc_id`, `part` (the file's pla
 `ids`, a list of integers. Ids are written with a dictionary (or delta packed), in row groups and pages of set sizes; Parquet's
 column and page indexes let a reader skip to the rows of some documents, and a reader of the small columns never touches the ids.
 
+The ids are those of the tokenizers library called on the whole text without adding special tokens: where a text itself holds the
+name of a special token, it is that token's one id.
+
 Null or empty texts have only the end id. Rows that repeat a doc_id are all kept, ordered by text; rows without doc_id come first.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from waybill.llm.bpe import encoder
 from waybill.llm.text import chunks
@@ -41,6 +48,29 @@ def options(encoding: str = "dictionary", row_group: int = ROW_GROUP_BYTES, page
     }
 
 
+@functools.cache
+def plain(path: str) -> tuple[Tokenizer | None, list[str]]:
+    """The library's own tokenizer of a file, and the names of its special tokens; rank files have none."""
+    if not path.endswith(".json"):
+        return None, []
+    made = Tokenizer.from_file(path)
+    return made, [token.content for token in made.get_added_tokens_decoder().values()]
+
+
+def as_the_library(path: str, texts: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and bounds of all rows, those that hold the name of a special token encoded whole by the library."""
+    tokenizer, names = plain(path)
+    named = np.zeros(len(texts), bool)
+    for name in names:
+        named |= pc.fill_null(pc.match_substring(texts, name), False).to_numpy(zero_copy_only=False)
+    if not named.any():
+        return ids, bounds
+    rows = [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
+    for i in np.flatnonzero(named).tolist():
+        rows[i] = np.array(tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, ids.dtype)
+    return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+
+
 def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
     """The rows of the files, ranged and sorted by doc_id."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -51,6 +81,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFram
         coder, part, upto = encoder(path), TaskContext.get().partitionId(), 0
         for batch in chunks(batches):
             ids, bounds, _, _ = coder.rows(batch.column("text"))
+            ids, bounds = as_the_library(path, batch.column("text"), ids, bounds)
             if end_id is not None:
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
