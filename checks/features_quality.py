@@ -299,19 +299,21 @@ def dq_drift_decision(v: Views):
 
 @query(
     "dq_stored_drift",
-    "SELECT \"column\", true AS near, p_value < 0.05 AS is_drifted, baseline_rows, current_rows FROM (" + DECISION.format(ks=exact_ks_sql("value")) + "\nUNION ALL "
-    + DECISION.format(ks=exact_ks_sql("value_shifted")) + """) AS d, (SELECT count_if(NOT is_current)::BIGINT AS baseline_rows, count_if(is_current)::BIGINT AS current_rows
-FROM drift_sample WHERE value IS NOT NULL AND NOT isnan(value)) AS n""",
+    """SELECT c AS "column", true AS near, true AS agrees, count_if(NOT is_current)::BIGINT AS baseline_rows, count_if(is_current)::BIGINT AS current_rows
+FROM drift_sample, (VALUES ('value'), ('value_shifted')) AS v(c) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY c""",
 )
 def dq_stored_drift(v: Views):
-    """The same decision from the distributions that two snapshots have stored; `near` says that the distance is within its error."""
+    """Drift from the distributions that two snapshots have stored, against the rows: `near` says that the distance is within its error,
+    `agrees` that the decision is the same, or the rows' own distance within that error of the critical one."""
     columns = ["value", "value_shifted"]
     sample = v["drift_sample"]
     stored = materialize(sketches.distribution(sample.where("NOT is_current"), columns), "stored-distribution")
     told = sketches.stored_drift(sketches.distribution(sample.where("is_current"), columns), stored)
-    exact = _drift(v).select("column", F.col("ks_statistic").alias("exact"))
+    exact = _drift(v).select("column", F.col("ks_statistic").alias("exact"), F.col("is_drifted").alias("drifted"))
     near = F.abs(F.col("ks_statistic") - F.col("exact")) <= sketches.DISTANCE_ERROR
-    return told.join(exact, "column").select("column", near.alias("near"), "is_drifted", "baseline_rows", "current_rows")
+    close = F.abs(F.col("exact") - sketches.critical_distance("baseline_rows", "current_rows")) <= sketches.DISTANCE_ERROR
+    agrees = (F.col("is_drifted") == F.col("drifted")) | close
+    return told.join(exact, "column").select("column", near.alias("near"), agrees.alias("agrees"), "baseline_rows", "current_rows")
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.geo import assign_region
@@ -21,6 +21,7 @@ KLL_SIZE = 800  # ranks within RANK_ERROR of the rows
 RANK_ERROR = 2.3 / KLL_SIZE**0.9
 POINTS = 512  # quantiles of each side at which two stored distributions are compared
 DISTANCE_ERROR = 2 * RANK_ERROR + 1 / POINTS
+CRITICAL = math.sqrt(-math.log(ALPHA / 2) / 2)
 
 
 def distinct_error(lg_buckets: int = LG_BUCKETS) -> float:
@@ -58,12 +59,17 @@ def distribution(df: DataFrame, columns: list[str], size: int = KLL_SIZE) -> Dat
     return row.select(F.inline("all")).where("n > 0")
 
 
+def critical_distance(n1: str, n2: str) -> Column:
+    """The distance from which samples of two sizes count as drifted at the usual level."""
+    return CRITICAL * F.sqrt((F.col(n1) + F.col(n2)) / (F.col(n1) * F.col(n2)))
+
+
 def stored_drift(current: DataFrame, baseline: DataFrame, alpha: float = ALPHA, points: int = POINTS) -> DataFrame:
     """Per column of two stored distributions: the largest distance of their ranks, its p-value, and whether the column drifted.
 
     Each side is read at equally spaced quantiles, and ranks are compared at all of them. The distance is that of the rows within
-    DISTANCE_ERROR. Where there are so many rows that this error alone would count as drift, it is not held against a column: the
-    p-value is that of the distance less the error.
+    DISTANCE_ERROR. Where there are so many rows that this error alone would count as drift, what it exceeds the critical distance by
+    is taken off before the p-value, so it is not held against a column.
     """
     shares = F.array(*(F.lit((i + 0.5) / points) for i in range(points)))
     quantiles = lambda side: side.withColumn("q", F.kll_sketch_get_quantile_double(F.col("sketch"), shares)).drop("sketch")
@@ -73,7 +79,8 @@ def stored_drift(current: DataFrame, baseline: DataFrame, alpha: float = ALPHA,
     upto = lambda q, x: F.size(F.filter(q, lambda v: v <= x))
     distances = F.transform(F.concat("current_q", "baseline_q"), lambda x: F.abs(upto(F.col("current_q"), x) - upto(F.col("baseline_q"), x)))
     rows = both.withColumn("ks_statistic", F.array_max(distances) / points)
-    sure = F.greatest(F.col("ks_statistic") - DISTANCE_ERROR, F.lit(0.0))
+    noise = F.greatest(F.lit(DISTANCE_ERROR) - critical_distance("baseline_rows", "current_rows"), F.lit(0.0))
+    sure = F.greatest(F.col("ks_statistic") - noise, F.lit(0.0))
     p = ks_probability(sure, F.col("baseline_rows").cast("double"), F.col("current_rows").cast("double"))
     rows = rows.withColumn("p_value", p).withColumn("is_drifted", F.col("p_value") < alpha)
     return rows.select("column", "ks_statistic", "p_value", "is_drifted", "baseline_rows", "current_rows", "baseline_mean", "current_mean", "baseline_std", "current_std")
