@@ -8,6 +8,8 @@ from checks.compare import KINDS, TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 TRAINING = {"delay_model_metrics", "eta_model_metrics"}  # minutes of training; smoke-tested elsewhere
+# as long: the same work is held against full builds and against the trained model in test_incremental.py and test_ml.py
+TRAINING |= {"daily_two_runs", "stored_model_scores"}
 
 
 @pytest.fixture(scope="module")
