@@ -2,6 +2,8 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
+
 from waybill.llm import jaccard
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -65,6 +67,48 @@ def test_other_sizes_and_hot_shingles(spark, monkeypatch):
     assert found(spark, rows, 5, 80) == brute(rows, 5, 80)
 
 
+def passages(seed):
+    """Different documents around one passage that all of them share, and near copies of a few."""
+    r = random.Random(seed)
+    common = [f"c{i}" for i in range(60)]
+    rows = []
+    for d in range(60):
+        own = [f"w{r.randrange(3000)}" for _ in range(r.choice([3, 6, 8, 10, 14, 60]))]
+        cut = r.randrange(len(own) + 1)
+        base = own[:cut] + common + own[cut:]
+        for c in range(r.choice([1, 1, 1, 4])):
+            copy = list(base)
+            for _ in range(r.randrange(3) if c else 0):
+                copy[r.randrange(len(copy))] = f"e{r.randrange(3000)}"
+            rows.append((10 * d + c, " ".join(copy)))
+    return rows
+
+
+def test_a_passage_that_many_share(spark, monkeypatch):
+    rows = passages(3)
+    assert found(spark, rows) == brute(rows, 4, 85)
+    monkeypatch.setattr(jaccard, "OFTEN", 2)  # the passage makes no keys: such sets meet in their prefixes
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    assert found(spark, rows) == brute(rows, 4, 85)
+
+
+def test_keys_meet_where_sets_are_linked():
+    r = np.random.default_rng(5)
+    for percent in (80, 85):
+        for n in [5, 9, 14, 30, 80, 300, 2000]:
+            for _ in range(20):
+                both = np.unique(r.integers(0, 2**64, n, np.uint64))
+                left = int(len(both) * (100 - percent) / percent * r.random())
+                x = np.unique(np.concatenate([both, r.integers(0, 2**64, left, np.uint64)]))
+                y = np.unique(np.concatenate([both, r.integers(0, 2**64, int(len(both) * (100 - percent) / percent) - left, np.uint64)]))
+                if 100 * len(both) < percent * (len(x) + len(y) - len(both)) or np.array_equal(x, y):
+                    continue
+                often = np.sort(r.choice(both, len(both) // r.integers(1, 5)))
+                hot = (often, np.arange(len(often)))
+                a, b = ({(k, up) for keys, up in jaccard.keys_of(s, percent, hot) for k in keys.tolist()} for s in (x, y))
+                assert {k for k, up in a if not up} & {k for k, _ in b} or {k for k, up in b if not up} & {k for k, _ in a}
+
+
 def test_nothing_to_link(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, "a b c d e"), (2, None)]) == [(1, 2, 1), (2, 0, 2)]
