@@ -330,7 +330,8 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         live = materialize(own.join(split, "key").select("key", "node", "upper", "root"), "open")
         own = live.join(sketches.drop("counts"), "node")
         if step < ROUNDS:
-            chance = F.xxhash64("node", F.lit(step))
+            # the buckets of a group first have the same hubs, so that most of it soon is one component, then each its own
+            chance = F.xxhash64("node", "key", F.lit(step)) if step else F.xxhash64("node")
             first = F.row_number().over(Window.partitionBy("key").orderBy("upper", chance, "node"))
             hubs = live.withColumn("place", first).where(F.col("place") <= HUBS).drop("place").join(sketches.drop("counts"), "node")
             both = own.alias("s").join(hubs.alias("t"), "key").where((F.col("s.root") != F.col("t.root")) & possible(percent))
