@@ -33,7 +33,8 @@ END = np.uint64(0xE4D0F7E87)  # stands for the hash of the end
 HOT = 1 << 18
 CLASS, CLASSES = 32, 32
 VOCABULARY = CLASS * CLASSES  # the end among them
-HIDDEN, LANES, STEPS, ROUNDS, RATE = 24, 32, 16, 3, 0.01
+HIDDEN, LANES, STEPS, ROUNDS, RATE = 24, 256, 16, 3, 0.03
+UPDATES = 32  # lanes are few enough for so many updates a stream
 MERGED = 1 << 20  # distinct words that a task holds before it sends its counts on
 BYTES = 1 << 22
 MID, TAIL = CLASSES, CLASSES + 1  # the classes of other words
@@ -140,7 +141,7 @@ class Network:
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state, and what the way back needs."""
         a, b = self.x[ids], h @ self.u
-        gates = 1 / (1 + np.exp(-np.clip(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN], -30, 30)))
+        gates = 0.5 + 0.5 * np.tanh(0.5 * (a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]))  # the logistic function
         z, r, inner = gates[:, :HIDDEN], gates[:, HIDDEN:], b[:, 2 * HIDDEN :]
         n = np.tanh(a[:, 2 * HIDDEN :] + r * inner)
         return n + z * (h - n), z, r, n, inner
@@ -186,7 +187,7 @@ class Network:
 
     def train(self, ids: np.ndarray) -> None:
         """Truncated backpropagation through one pass over a stream of tokens, cut into lanes; Adam."""
-        lanes = max(1, min(LANES, len(ids) // (4 * STEPS)))
+        lanes = max(1, min(LANES, len(ids) // (UPDATES * STEPS)))
         length = len(ids) // lanes
         if length < 2:
             return
