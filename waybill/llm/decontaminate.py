@@ -28,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from waybill.llm.text import chunks, hash_spans, lower_ascii, mix, spans, utf8
+from waybill.session import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 4, 7
@@ -203,12 +204,13 @@ def matches(found: Index, column: pa.Array) -> list[tuple[int, int, float, int,
     return sorted(out)
 
 
-def passes(items: DataFrame, most: int) -> list[Index]:
-    """The items in indexes of at most about `most` each, dealt by hash."""
+def passes(items: DataFrame, most: int) -> Iterator[tuple[Index, bool]]:
+    """The items in indexes of at most about `most` each, dealt by hash, and whether more follow; each is built when its turn comes."""
     texts = items.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null")
     parts = -(-texts.count() // most)
     dealt = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts)))
-    return [index(sorted([tuple(r) for r in texts.where(dealt == k).collect()], key=str)) for k in range(parts)]
+    for k in range(parts):
+        yield index(sorted([tuple(r) for r in texts.where(dealt == k).collect()], key=str)), k + 1 < parts
 
 
 def leaks(docs: DataFrame, items: DataFrame, most: int = ITEMS) -> DataFrame:
@@ -229,17 +231,17 @@ def leaks(docs: DataFrame, items: DataFrame, most: int = ITEMS) -> DataFrame:
 
         return source.mapInArrow(run, schema)
 
-    frames = [by(found) for found in passes(items, most)] or [docs.sparkSession.createDataFrame([], schema)]
-    out = frames[0]
-    for more in frames[1:]:
-        out = out.unionByName(more)
-    return out
+    out = None
+    for found, more in passes(items, most):  # a pass is written before the next one's index is built
+        own = materialize(by(found), "leaks") if more else by(found)
+        out = own if out is None else out.unionByName(own)
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def clean(docs: DataFrame, items: DataFrame, most: int = ITEMS) -> DataFrame:
     """The rows that hold no item, with all their columns."""
     names = docs.columns
-    for found in passes(items, most):
+    for found, more in passes(items, most):
 
         def run(batches: Iterator[pa.RecordBatch], found: Index = found) -> Iterator[pa.RecordBatch]:
             for batch in chunks(batches, limit=CHUNK):
@@ -248,4 +250,6 @@ def clean(docs: DataFrame, items: DataFrame, most: int = ITEMS) -> DataFrame:
                 yield batch.filter(pa.array(kept))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if more:
+            docs = materialize(docs, "clean")
     return docs
