@@ -126,3 +126,48 @@ def test_threshold_is_the_quantile_however_low():
     codes, y = r.integers(0, 130, (400, secrets.WIDTH)), np.array([0.0, 0.0, 0.0, 1.0] * 100)
     net.calibrate(codes, y)
     assert net.threshold < 0.5 and net.recall >= secrets.RECALL and 0 < net.passed <= 1
+
+
+def test_all_findings_train_and_calibrate(spark):
+    docs = spark.createDataFrame(corpus(4000), "doc_id long, text string").repartition(3)
+    every = {(r.place, r.label): bytes(r.codes) for r in secrets.findings(docs).collect()}
+    held = [(c, y) for (p, y), c in sorted(every.items()) if p % 4 == 0]
+    assert len(every) > 3000 and sum(y for _, y in held) > 375  # more secrets than the former sample's 1,500 and their quarter
+    seen = []
+    real = secrets.Network.calibrate_all
+
+    def spy(self, table):
+        seen.append(table.count())
+        real(self, table)
+
+    secrets.Network.calibrate_all = spy
+    try:
+        one, many = secrets.learn(docs), secrets.learn(docs, lot=500)  # one lot, and several that are averaged
+    finally:
+        secrets.Network.calibrate_all = real
+    assert seen == [len(held)] * 2
+    codes, y = np.stack([np.frombuffer(c, np.uint8) for c, _ in held]).astype(np.int64), np.array([y for _, y in held])
+    for net in (one, many):
+        scores = net.scores(codes)
+        found = np.sort(scores[y > 0])
+        assert len(net.rounds) == secrets.EPOCHS and net.rounds[-1] < net.rounds[0]
+        assert abs(net.threshold - found[int(0.02 * len(found))]) < 1e-5
+        assert abs(net.recall - (found >= net.threshold).mean()) < 0.01 and abs(net.passed - (scores[y == 0] >= net.threshold).mean()) < 0.01
+        assert net.recall >= secrets.RECALL and net.passed < 0.3
+
+
+def test_counts_of_any_size_give_the_threshold_of_the_rows(spark):
+    r = np.random.default_rng(6)
+    codes, y = r.integers(0, 130, (600, secrets.WIDTH)), np.array([0, 0, 1] * 200)
+    table = spark.createDataFrame([(int(k), bytearray(c.astype(np.uint8))) for c, k in zip(codes, y, strict=True)], "label int, codes binary")
+    for factor in (1.0, -1.0, 60.0):  # 60: many equal scores at the ends
+        one, all_rows = secrets.Network.fresh(), secrets.Network.fresh()
+        for net in (one, all_rows):
+            net.out = (net.out * factor).astype(np.float32)
+        one.calibrate(codes, y)
+        all_rows.calibrate_all(table)
+        found = all_rows.scores(codes[y > 0])
+        assert (found >= all_rows.threshold - 1e-6).mean() >= secrets.RECALL and (found > all_rows.threshold + 1e-6).mean() <= secrets.RECALL
+        if factor != 60:
+            assert abs(one.slope - all_rows.slope) < 0.01 and abs(one.shift - all_rows.shift) < 0.01
+            assert abs(one.recall - all_rows.recall) < 0.01 and abs(one.passed - all_rows.passed) < 0.01
