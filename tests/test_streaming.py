@@ -118,3 +118,47 @@ def test_late_rows_go_to_the_side(spark, batches, ts):
     # E1, E2 and E3 again within the delay are duplicates; E3 comes back when its first is forgotten, and so does the undated E7
     assert got == late + [("on_time", e, "D1") for e in ("E1", "E2", "E3", "E3", "E5", "E6", "E7", "E7")]
     assert run.total_records == len(got) + 3
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_late_rows_with_keys_of_both_kinds(spark, tmp_path, ts, kind):
+    key = lambda k: k if kind == "long" or k is None else str(k)
+    schema = f"event_id {kind}, event_timestamp timestamp, n int"
+    for i, rows in enumerate([[(0, ts(2), 1), (0, ts(1), 2), (None, ts(3), 3), (None, ts(2), 4), (-1, ts(1), 5), (2**60 + 1, ts(1), 6), (2**60, ts(1), 7)],
+                              [(0, ts(4), 8), (None, ts(4), 9), (9, ts(300), 10)], [(0, ts(301), 11), (None, ts(301), 12), (9, ts(302), 13), (0, ts(0), 14)]]):
+        spark.createDataFrame([(key(k), *rest) for k, *rest in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    told = jobs.dedup_with_late(stream, buckets=2)
+    got = jobs.table(spark, jobs.drain(told, "t-kinds", ["arrival"]), told.schema)
+    assert sorted((r.arrival, r.n) for r in got.collect()) == [("late", 14)] + [("on_time", n) for n in (2, 4, 5, 6, 7, 10, 11, 12)]
+
+
+def test_a_bucket_of_a_large_batch_is_held_once():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    class State:
+        exists, told = False, None
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def update(self, told):
+            self.told = told
+
+    n, part, state = 200_000, 10_000, State()
+    names = ["event_id", "a", "b", "c", "d"]
+
+    def frames():
+        for i in range(0, n, part):
+            ids = np.arange(i, i + part)
+            yield pd.DataFrame({c: ids for c in names} | {"__at": 1_700_000_000_000_000 + ids, "__id": ids, "__null": np.zeros(part, bool)})
+
+    tracemalloc.start()
+    sent = sum(len(x) for x in jobs.late_step(names, 900_000, True)(None, frames(), state))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent == n and len(state.told[0]) == len(state.told[1]) == 8 * n and state.told[2] is None
+    assert peak < 250 * n  # rows of 57 bytes, twice while they are joined

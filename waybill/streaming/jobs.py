@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from waybill.functions.geo import assign_region
 from waybill.functions.timing import delivered_at, is_late, with_date_levels
@@ -31,6 +31,7 @@ WATERMARK = "15 minutes"
 HOUR = "1 hour"
 RUN_EVERY = "300 seconds"
 BUCKETS = 256  # states over which the keys of a deduplication with late rows are dealt
+SLICE = 1 << 14  # rows that such a state sends on at a time
 
 
 def file_stream(
@@ -58,6 +59,42 @@ def dedup(stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp",
 ON_TIME, LATE = "on_time", "late"
 
 
+def late_step(names: list[str], kept_ms: int, whole: bool) -> Callable:
+    """The step of a bucket in ``dedup_with_late``; ``whole`` tells keys that are whole numbers from texts."""
+
+    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        passed = state.getCurrentWatermarkMs()
+        ids, until, null_until = state.get if state.exists else (b"" if whole else [], b"", None)
+        ids, until = np.frombuffer(ids, np.int64) if whole else np.array(ids, object), np.frombuffer(until, np.int64)
+        ids, until = ids[until > passed], until[until > passed]
+        null_until = None if null_until is None or null_until <= passed else null_until
+        parts = [f for f in frames if len(f)]
+        if parts:
+            rows = pd.concat(parts, ignore_index=True)
+            del parts
+            at, key_of, null = (rows.pop(c).to_numpy() for c in ("__at", "__id", "__null"))
+            order = np.argsort(at, kind="stable")  # moments that are missing come last
+            behind = (at <= passed * 1000) & (passed > 0)
+            order, late = order[~behind[order]], order[behind[order]]
+            nulls, order = order[null[order]], order[~null[order]]
+            own_keys = pd.Series(key_of[order])
+            fresh = order[~(own_keys.duplicated() | own_keys.isin(ids)).to_numpy()]
+            del own_keys, order
+            first_null = nulls[:1] if null_until is None else nulls[:0]
+            ends = lambda chosen: np.where(np.isnan(at[chosen]), passed, at[chosen] // 1000).astype(np.int64) + kept_ms
+            ids, until = np.concatenate([ids, key_of[fresh]]), np.concatenate([until, ends(fresh)])
+            null_until = int(ends(first_null)[0]) if len(first_null) else null_until
+            for chosen, arrival in ((np.concatenate([fresh, first_null]), ON_TIME), (late, LATE)):
+                for i in range(0, len(chosen), SLICE):
+                    yield rows.take(chosen[i : i + SLICE])[names].assign(arrival=arrival)
+        if len(ids) or null_until is not None:
+            state.update((ids.tobytes() if whole else ids.tolist(), until.tobytes(), null_until))
+        elif state.exists:
+            state.remove()
+
+    return step
+
+
 def dedup_with_late(
     stream: DataFrame, key: str = "event_id", ts: str = "event_timestamp", delay: str = WATERMARK, buckets: int = BUCKETS
 ) -> DataFrame:
@@ -66,38 +103,23 @@ def dedup_with_late(
     Spark's own deduplication loses late rows without a trace; here they go on, so a sink partitioned by ``arrival`` has them in a side
     table, and on-time rows, late rows and duplicates make up the input. Keys are dealt by hash over ``buckets``, each with one state:
     the keys it has seen and when the watermark will have passed them; with its next rows a bucket drops what has expired, so the state
-    holds the keys of about one delay. (Timers would wake a bucket without rows, but keep a run to the end of its input from ending.)
+    holds the keys of about one delay. Whole-number keys and moments are held as bytes of 8 each; a bucket's rows of a batch are held once,
+chosen by their places and sent on in slices of SLICE. (Timers would wake a bucket without rows, but keep a run to the end of its input from ending.)
     The rows of a bucket and batch come in any order; the earliest moment of a key stays. A row without a moment is never late
     and remembered as one at the watermark, so in a stream's first batch it is forgotten at once; null is a key.
     """
     names, kept_ms = stream.columns, int(pd.Timedelta(delay).total_seconds() * 1000)
-    own = stream.select(*names, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket"), F.unix_micros(ts).alias("__at"), F.col(key).cast("string").alias("__id"))
-
-    def step(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        passed = state.getCurrentWatermarkMs()
-        ids, until = state.get if state.exists else ([], [])
-        seen = {i: u for i, u in zip(ids, until, strict=True) if u > passed}
-        parts = [f for f in frames if len(f)]
-        if parts:
-            rows = pd.concat(parts).sort_values("__at", kind="stable", na_position="last")
-            behind = (rows["__at"] <= passed * 1000) & (passed > 0)
-            fresh = rows[~behind].drop_duplicates("__id")
-            fresh = fresh.assign(__id=fresh["__id"].astype(object).where(fresh["__id"].notna(), None))
-            fresh = fresh[np.array([i not in seen for i in fresh["__id"]], bool)]
-            ends = (fresh["__at"] // 1000).fillna(passed) + kept_ms
-            seen |= dict(zip(fresh["__id"], ends.astype("int64").tolist(), strict=True))
-            for part, arrival in ((fresh, ON_TIME), (rows[behind], LATE)):
-                if len(part):
-                    yield part[names].assign(arrival=arrival)
-        if seen:
-            state.update((list(seen), list(seen.values())))
-        elif state.exists:
-            state.remove()
+    whole = isinstance(stream.schema[key].dataType, IntegralType)
+    none, kind = (F.lit(0).cast("long"), "long") if whole else (F.lit(""), "string")
+    own = stream.select(
+        *names, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket"), F.unix_micros(ts).alias("__at"),
+        F.coalesce(F.col(key).cast(kind), none).alias("__id"), F.col(key).isNull().alias("__null"),
+    )
 
     out = StructType([*stream.schema.fields, StructField("arrival", StringType())])
-    held = "ids array<string>, until array<long>"
+    held = f"ids {'binary' if whole else 'array<string>'}, until binary, null_until long"
     marked = own.withWatermark(ts, delay)
-    return marked.groupBy("__bucket").applyInPandasWithState(step, out, held, "append", GroupStateTimeout.NoTimeout)
+    return marked.groupBy("__bucket").applyInPandasWithState(late_step(names, kept_ms, whole), out, held, "append", GroupStateTimeout.NoTimeout)
 
 
 def region_hourly(stream: DataFrame, delay: str = WATERMARK) -> DataFrame:
