@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from waybill.operators import ordered
 from waybill.operators.history import COUNT, RATIO, leak_check, trailing_history
-from waybill.operators.ordered import neighbour, running_before
+from waybill.operators.ordered import neighbour, running_before, with_slices
 from waybill.operators.weather import SCORE, delivery_weather, weather_at_creation
 
 
@@ -159,3 +159,17 @@ def test_weather_against_brute_force(spark, pit):
             if hit:
                 hits.append(min(10, 2 * max(severity, 0)))
         assert got[i] == max(hits), (i, region)
+
+
+def test_rows_are_not_sorted_to_find_their_parts(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS t", "id", "id AS v")
+    near = neighbour(df, ["k"], ["t", "id"], F.col("t"), 100, {"near_v": "v"})
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # the counts of all slices are larger, those of busy ones are few
+    try:
+        joins = with_slices(df, ["k"], F.col("t"), 100)._jdf.queryExecution().executedPlan().toString()
+        union = near._jdf.queryExecution().optimizedPlan().toString().split("Union")[1].split("Join")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in joins and "SortMergeJoin" not in joins
+    assert "struct" not in union  # values travel in their own columns only

@@ -42,7 +42,8 @@ def with_slices(rows: DataFrame, keys: list[str], position: Column, width: int)
         .select(*keys, SLICE, F.greatest(F.lit(1), F.ceil(F.lit(float(width) * PART_ROWS / 4) / F.col("__n"))).cast("long").alias("__step"))
     )
     inside = F.floor(F.pmod(position, F.lit(width)) / F.col("__step")).cast("long")
-    return coarse.join(busy, [*keys, SLICE], "left").withColumn(PART, F.coalesce(inside, F.lit(0))).drop("__step")
+    # at most one of PART_ROWS rows is a busy slice; without the hint the counts before the filter decide, and all rows are sorted to join
+    return coarse.join(F.broadcast(busy), [*keys, SLICE], "left").withColumn(PART, F.coalesce(inside, F.lit(0))).drop("__step")
 
 
 def _joined(how: str, a: Column, b: Column) -> Column:
@@ -145,15 +146,11 @@ def neighbour(
         parts.join(slices, [*keys, SLICE])
         .select(*keys, SLICE, PART, F.coalesce("__part_edge", "__slice_edge").alias("__edge"))
         .where(F.col("__edge").isNotNull())
-        .withColumn(CARRY, F.lit(True))
-    )
-    stacked = sliced.select("*", packed.alias("__edge"), F.lit(False).alias(CARRY)).unionByName(
-        carries, allowMissingColumns=True
+        .select(*keys, SLICE, PART, *(F.col(f"__edge.{c}").alias(c) for c in sources if c not in keys), F.lit(True).alias(CARRY))
     )
+    # a carry row has the edge's values in the columns they come from, so that no row travels with a second copy of them
+    stacked = sliced.withColumn(CARRY, F.lit(False)).unionByName(carries, allowMissingColumns=True)
     edge_first = F.col(CARRY).asc() if following else F.col(CARRY).desc()
     inside = Window.partitionBy(*keys, SLICE, PART).orderBy(edge_first, *order)
-    return (
-        stacked.withColumn("__near", step("__edge").over(inside))
-        .where(~F.col(CARRY))
-        .select(*rows.columns, *(F.col(f"__near.{source}").alias(name) for name, source in values.items()))
-    )
+    near = [step(source).over(inside).alias(name) for name, source in values.items()]
+    return stacked.select(*rows.columns, CARRY, *near).where(~F.col(CARRY)).drop(CARRY)
