@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from waybill.llm import jaccard
 
@@ -92,6 +93,33 @@ def test_a_passage_that_many_share(spark, monkeypatch):
     assert found(spark, rows) == brute(rows, 4, 85)
 
 
+def test_a_pair_is_made_once(spark, monkeypatch):
+    r = np.random.default_rng(7)
+    family = np.unique(r.integers(0, 2**64, 400, np.uint64))
+    sets = {k: np.unique(np.append(r.choice(family, 350, replace=False), r.integers(0, 2**64, 30 + 2 * (k % 20), np.uint64))) for k in range(40)}
+    hot = (family[:0], family[:0])
+    rows = [(int(key), node, node, upper) for node, own in sets.items() for keys, upper in jaccard.keys_of(own, 85, hot) for key in jaccard.signed(keys)]
+    live = spark.createDataFrame(rows, "key long, node long, root long, upper boolean")
+    split = live.groupBy("key").count().where("count > 1").select("key")
+    live = live.join(split, "key").cache()
+    words = jaccard.parities(list(sets.values()))
+    sketches = spark.createDataFrame([(k, len(own), None, *map(int, w)) for (k, own), w in zip(sets.items(), words, strict=True)], f"node long, n int, counts binary, {', '.join(w + ' long' for w in jaccard.WORDS)}")
+
+    def pairs():
+        return [tuple(row) for row in jaccard.across(live, sketches, 60).collect()]
+
+    every = {(min(a, b), max(a, b)) for _, a, b in live.toDF("key", "a", "ra", "ua").join(live.toDF("key", "b", "rb", "ub"), "key").where("a < b and not (ua and ub)").select("key", "a", "b").collect()}
+    monkeypatch.setattr(jaccard, "CROWDED", 1)
+    monkeypatch.setattr(jaccard, "possible", lambda percent: ~(F.col("s.upper") & F.col("t.upper")))
+    for least in (1, 3):  # lists too short to meet lose nothing
+        monkeypatch.setattr(jaccard, "LEAST", least)
+        assert set(pairs()) == every
+    monkeypatch.setattr(jaccard, "LEAST", 1000)
+    assert sorted(pairs()) == sorted(every)
+    monkeypatch.setattr(jaccard, "CROWDED", 1000)
+    assert set(pairs()) == every and len(pairs()) > 2 * len(every)
+
+
 def test_keys_meet_where_sets_are_linked():
     r = np.random.default_rng(5)
     for percent in (80, 85):

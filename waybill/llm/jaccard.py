@@ -16,7 +16,8 @@ Documents with equal sets of shingles are one node; everything below is about di
   pair.
 * Groups. A group of near copies isn't compared pair by pair. In each of ROUNDS rounds every entry is paired with HUBS hubs of its
   bucket, and verified links merge nodes into components; pairs within a component need no look. Then the entries outside a bucket's
-  largest component are verified with all of other components.
+  largest component are verified with all of other components: in buckets of more than CROWDED entries a pair is made once, in the
+  least such bucket that both are in, as far as the LEAST first ones of each tell.
 
 A document without words, or without doc_id, is linked with nothing; null texts are empty. Rows that repeat a doc_id are each judged
 by their own text.
@@ -42,6 +43,7 @@ HOT = 1 << 18
 COUNTED = 1 << 21  # shingles among which a task looks for repeats at once
 OFTEN = 1024  # sets that a frequent shingle is in
 ROUNDS, HUBS = 2, 4
+CROWDED, LEAST = 16, 16
 FRAGMENTS, PIECES = 256, 16
 PARITIES = 256
 WORDS = [f"p{i}" for i in range(PARITIES // 64)]
@@ -201,6 +203,20 @@ def possible(percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ~(F.col("s.upper") & F.col("t.upper")) & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
+def across(live: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket. Two nodes meet in one class of sizes only, so buckets of a node are
+    told apart by `upper`. If the lists of two nodes meet, the least bucket in both is the least that the two share."""
+    held = live.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), (F.sum("count") > CROWDED).alias("crowded"))
+    own = live.join(held, "key")
+    least = own.where("crowded").groupBy("node", "upper").agg(F.slice(F.sort_array(F.collect_set("key")), 1, LEAST).alias("least"))
+    own = own.join(least, ["node", "upper"], "left").withColumn("least", F.when(F.col("crowded"), F.col("least"))).join(sketches.drop("counts"), "node")
+    fewer = own.where("root <> largest")
+    once = (F.col("t.root") == F.col("t.largest")) | (F.col("s.node") < F.col("t.node"))
+    here = F.coalesce(F.array_min(F.array_intersect("s.least", "t.least")), F.col("s.key")) == F.col("s.key")
+    both = fewer.alias("s").join(own.alias("t"), (F.col("s.key") == F.col("t.key")) & (F.col("s.root") != F.col("t.root")) & once & possible(percent) & here)
+    return both.select(F.least("s.node", "t.node").alias("a"), F.greatest("s.node", "t.node").alias("b"))
+
+
 def place_of(nodes: np.ndarray) -> np.ndarray:
     return (mix(nodes.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
@@ -328,22 +344,18 @@ def classes(docs: DataFrame, size: int, percent: int) -> DataFrame:
         own = live.join(labels, "node")
         split = own.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
         live = materialize(own.join(split, "key").select("key", "node", "upper", "root"), "open")
-        own = live.join(sketches.drop("counts"), "node")
         if step < ROUNDS:
             # the buckets of a group first have the same hubs, so that most of it soon is one component, then each its own
+            own = live.join(sketches.drop("counts"), "node")
             chance = F.xxhash64("node", "key", F.lit(step)) if step else F.xxhash64("node")
             first = F.row_number().over(Window.partitionBy("key").orderBy("upper", chance, "node"))
             hubs = live.withColumn("place", first).where(F.col("place") <= HUBS).drop("place").join(sketches.drop("counts"), "node")
             both = own.alias("s").join(hubs.alias("t"), "key").where((F.col("s.root") != F.col("t.root")) & possible(percent))
+            pairs = both.select(F.least("s.node", "t.node").alias("a"), F.greatest("s.node", "t.node").alias("b"))
         else:
-            largest = live.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", F.struct("count", "root")).alias("largest"))
-            own = own.join(largest, "key")
-            fewer = own.where("root <> largest")
-            once = (F.col("t.root") == F.col("t.largest")) | (F.col("s.node") < F.col("t.node"))
-            both = fewer.alias("s").join(own.alias("t"), "key").where((F.col("s.root") != F.col("t.root")) & once & possible(percent))
+            pairs = across(live, sketches, percent)
         live = live.drop("root")
-        pairs = both.select(F.least("s.node", "t.node").alias("a"), F.greatest("s.node", "t.node").alias("b")).distinct()
-        pairs = materialize(bounded(pairs, sketches, percent), "pairs")
+        pairs = materialize(bounded(pairs.distinct(), sketches, percent), "pairs")
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         links = materialize(linked(pairs, parts.join(ends, "node", "left_semi"), percent), "links")
         labels = merged(labels, links)
