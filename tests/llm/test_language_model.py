@@ -26,6 +26,21 @@ def test_probabilities_sum_to_one():
     assert np.exp(net.logs(np.repeat(state, len(ids), 0), ids)[0]).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_words_are_looked_up_without_a_search(monkeypatch):
+    r = np.random.default_rng(6)
+    close = np.uint64(7 << 44) + np.arange(0, 60, 3, dtype=np.uint64)  # one beginning for all of these
+    keys = np.unique(np.concatenate([close, r.integers(0, 2**64, 3000, np.uint64), np.array([0, 2**64 - 1], np.uint64)]))
+    words = lm.Words(keys, r.integers(2, 99, len(keys)), r.integers(0, lm.VOCABULARY + 1, len(keys)), 9, 9, 9, 9)
+    assert len(words.starts) == (1 << lm.TOP) + 1
+    asked = np.concatenate([keys, keys + np.uint64(1), close + np.uint64(2), r.integers(0, 2**64, 500, np.uint64)])
+    known = dict(zip(keys.tolist(), zip(words.ids.tolist(), words.c.tolist(), strict=True), strict=True))
+    monkeypatch.setattr(lm.np, "searchsorted", None)
+    ids, c = words.look(asked)
+    monkeypatch.undo()
+    assert list(zip(ids.tolist(), c.tolist(), strict=True)) == [known.get(h, (lm.VOCABULARY + 1, 0)) for h in asked.tolist()]
+    assert [a.tolist() for a in words.look(asked[:0])] == [[], []]
+
+
 def test_gradient():
     net = lm.Network(table())
     r = np.random.default_rng(4)

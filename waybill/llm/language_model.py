@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +36,11 @@ CLASS, CLASSES = 32, 32
 VOCABULARY = CLASS * CLASSES  # the end among them
 HIDDEN, LANES, STEPS, ROUNDS, RATE = 24, 256, 16, 3, 0.03
 UPDATES = 32  # lanes are few enough for so many updates a stream
+TOP = 20  # bits of a hash by which the table is entered
 MERGED = 1 << 20  # distinct words that a task holds before it sends its counts on
 BYTES = 1 << 22
 MID, TAIL = CLASSES, CLASSES + 1  # the classes of other words
+KIND = np.append(np.arange(VOCABULARY) // CLASS, [MID, TAIL]).astype(np.uint8)  # the class of each id; sorting bytes takes one pass
 
 
 def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -87,10 +90,24 @@ class Words:
         """(ids, counts): VOCABULARY + 1 and 0 for words outside the table."""
         if not len(self.keys):
             return np.full(len(hashes), VOCABULARY + 1), np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        same = self.keys[at] == hashes
+        starts = self.starts
+        top = hashes >> np.uint64(64 - TOP)
+        at, ends = starts[top], starts[top + np.uint64(1)]
+        left = np.flatnonzero(at < ends)
+        left = left[self.keys[at[left]] != hashes[left]]
+        while len(left):  # a few keys share their first bits
+            at[left] += 1
+            left = left[at[left] < ends[left]]
+            left = left[self.keys[at[left]] != hashes[left]]
+        same = at < ends
+        at[~same] = 0
         return np.where(same, self.ids[at], VOCABULARY + 1), np.where(same, self.c[at], 0)
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """The first key of each beginning of TOP bits, and the end."""
+        return np.searchsorted(self.keys >> np.uint64(64 - TOP), np.arange((1 << TOP) + 1, dtype=np.uint64)).astype(np.int32)
+
 
 def words_of(counts: DataFrame) -> Words:
     """The table of the most frequent words that occur twice or more; the end is always in it if any document is."""
@@ -140,21 +157,32 @@ class Network:
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """The next state, and what the way back needs."""
-        a, b = self.x[ids], h @ self.u
-        gates = 0.5 + 0.5 * np.tanh(0.5 * (a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]))  # the logistic function
+        a, b = self.x.take(ids, 0), h @ self.u
+        gates = a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5  # the logistic function
         z, r, inner = gates[:, :HIDDEN], gates[:, HIDDEN:], b[:, 2 * HIDDEN :]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * inner)
-        return n + z * (h - n), z, r, n, inner
+        n = r * inner
+        n += a[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, inner
 
     def logs(self, states: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities (of the class alone, for other words), and with `grads` the gradient of -sum to the states."""
-        kind = np.where(ids < VOCABULARY, ids // CLASS, ids - VOCABULARY + CLASSES)
-        logits = states @ self.class_w + self.class_b
+        kind = KIND[ids]
+        logits = states @ self.class_w
+        logits += self.class_b
         logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(1, keepdims=True)
         rows = np.arange(len(ids))
-        out = logits[rows, kind] - np.log(total[:, 0])
+        out = logits[rows, kind]
+        p = np.exp(logits, out=logits)
+        total = p @ np.ones((p.shape[1], 1), p.dtype)
+        out -= np.log(total[:, 0])
         back = None
         if grads is not None:
             p /= total
@@ -165,15 +193,17 @@ class Network:
         bounds = np.searchsorted(kind[order], np.arange(CLASSES + 1))
         used = [(c, slice(bounds[c], bounds[c + 1])) for c in np.flatnonzero(np.diff(bounds))]
         order = order[: bounds[-1]]
-        h, at = states[order], np.arange(len(order))
+        h, at = states.take(order, 0), np.arange(len(order))
         logits = np.empty((len(order), CLASS), h.dtype)
         for c, own in used:
             np.matmul(h[own], self.word_w[c], out=logits[own])
-        logits += self.word_b[kind[order]]
+        logits += self.word_b.take(kind[order], 0)
         logits -= logits.max(1, keepdims=True, initial=-np.inf)
-        p, target = np.exp(logits), ids[order] % CLASS
-        total = p.sum(1, keepdims=True)
-        out[order] += logits[at, target] - np.log(total[:, 0])
+        target = ids[order] % CLASS
+        own = logits[at, target]
+        p = np.exp(logits, out=logits)
+        total = p @ np.ones((CLASS, 1), p.dtype)
+        out[order] += own - np.log(total[:, 0])
         if grads is not None and used:
             p /= total
             p[at, target] -= 1
@@ -221,9 +251,10 @@ class Network:
                 after[fresh[k]] = 0
             np.matmul(old.reshape(-1, HIDDEN).T, down.reshape(-1, 3 * HIDDEN), out=grads["u"])
             given = before[own.start : own.stop].ravel()
-            order = np.argsort(given, kind="stable")
-            words, at = np.unique(given[order], return_index=True)
-            grads["x"][words] = np.add.reduceat(added.reshape(-1, 3 * HIDDEN)[order], at)
+            order = np.argsort(given.astype(np.int16), kind="stable")
+            words = given[order]
+            at = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+            grads["x"][words[at]] = np.add.reduceat(added.reshape(-1, 3 * HIDDEN).take(order, 0), at)
             updates += 1
             scale = 1 / (lanes * len(own))
             size = math.sqrt(float(g @ g)) * scale
