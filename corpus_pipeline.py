@@ -6,6 +6,9 @@ null or empty texts pass, as rows of their own. Near duplicates are judged by se
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +19,32 @@ from waybill.llm.text import fresh
 from waybill.session import scratch_path
 
 TOXIC = 0.5  # documents of this score and above go
+# Rows go to Python in batches of so many bytes instead of 64 MB: a task holds one in Spark's direct memory and one in its worker, beside
+# a heap that earlier stages have filled. A longer row is a batch of its own.
+BATCH_BYTES = 2 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage in a session that deals rows out in batches of BATCH_BYTES; the setting stays, as the stage's plan runs later."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@in_small_batches
 def toxic_rejected(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from the labelled ones."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.kept(docs, model, TOXIC)
 
 
+@in_small_batches
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest doc_id stays (of equal ones the smallest hash of the text), once.
     Rows without doc_id, and documents without words, are like no other and stay."""
@@ -36,11 +57,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.dropDuplicates(["doc_id", key]).unionByName(keyed.where("doc_id is null")).select(*docs.columns)
 
 
+@in_small_batches
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@in_small_batches
 def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts give way to a mark; every document stays, and n_chars follows its text."""
     out = secrets.redacted(docs, secrets.learn(docs))
@@ -48,6 +71,7 @@ def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out if changed is None else out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
 
 
+@in_small_batches
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and their number beside every document."""
     return bpe.intact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -1,11 +1,13 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
 from waybill.llm import decontaminate
+from waybill.llm.text import chunks
 
 WORD = re.compile(r"[a-z0-9\x80-\U0010ffff]+")
 
@@ -123,3 +125,21 @@ def test_the_best_window_of_all():
         alike = max(decontaminate.similarity(found.bags[0], decontaminate.bag(hashes[a:b], found.weight, found.rare)) for a, b in windows)
         got = decontaminate.aligned(found, 0, hashes, len(words))
         assert (got is None and alike < 0.8) or abs(got[0] - alike) < 1e-9
+
+
+def test_work_space_of_a_chunk_is_small():
+    r = random.Random(5)
+    texts = [" ".join(f"w{r.randrange(3000)}" for _ in range(400)) for _ in range(600)]
+    own = decontaminate.index([(1, " ".join(texts[0].split()[:40]))])
+    batch = pa.record_batch([pa.array(texts)], names=["text"])
+    found = []
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        for part in chunks([batch], limit=decontaminate.CHUNK):
+            found += decontaminate.matches(own, part.column("text"))
+        most = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 1 and found[0][2:4] == (1.0, 0)
+    assert most < 60e6, f"{most / 1e6:.0f} MB"

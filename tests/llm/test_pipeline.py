@@ -2,6 +2,7 @@ import base64
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -96,3 +97,21 @@ def test_entry_lists_every_query():
 
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_stages_deal_rows_out_in_small_batches(spark, corpus):
+    folder, setting = corpus[0], "spark.sql.execution.arrow.maxBytesPerBatch"
+    wide = spark.range(4000).selectExpr("id AS doc_id", "repeat('w x y ', 500) AS text").repartition(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["held"])
+
+    before = spark.conf.get(setting)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(setting, "64m")
+            stage(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+            assert wide.mapInArrow(sizes, "held long").agg({"held": "max"}).first()[0] < 2 * corpus_pipeline.BATCH_BYTES
+    finally:
+        spark.conf.set(setting, before)

@@ -34,7 +34,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, RADIUS = 4, 7
 SLACK = 2  # words that an aligned window may be off beyond what SIMILARITY leaves room for
 ITEMS = 20_000
-CHUNK = 1 << 20
+CHUNK = 1 << 18  # bytes of text whose windows are worked out at once; a window takes some hundred bytes meanwhile
 
 
 def ladder(n: int) -> int:
