@@ -21,7 +21,8 @@ from waybill.session import scratch_path
 TOXIC = 0.5  # documents of this score and above go
 # Rows go to Python in batches of so many bytes instead of 64 MB: a task holds one in Spark's direct memory and one in its worker, beside
 # a heap that earlier stages have filled. A longer row is a batch of its own.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 256 << 10
+PIECES_KEPT = 300_000  # pieces that a worker remembers in the last stage; beside a full heap there is no room for bpe's own number
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -74,7 +75,7 @@ def secrets_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 @in_small_batches
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and their number beside every document."""
-    return bpe.intact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.intact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), PIECES_KEPT)
 
 
 STAGES = [

@@ -95,3 +95,10 @@ def test_token_files(spark, tmp_path):
     assert token_files.checked(token_files.read(spark, empty)).count() == 0
     with pytest.raises(ValueError):
         token_files.options("none")
+
+
+def test_ids_with_few_pieces_kept(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = spark.createDataFrame(list(enumerate(texts(200))), "doc_id long, text string").repartition(3)
+    few, many = (sorted(bpe.intact(docs, path, **kept).select("doc_id", "token_ids").collect()) for kept in ({"kept": 50}, {}))
+    assert few == many

@@ -115,3 +115,11 @@ def test_stages_deal_rows_out_in_small_batches(spark, corpus):
             assert wide.mapInArrow(sizes, "held long").agg({"held": "max"}).first()[0] < 2 * corpus_pipeline.BATCH_BYTES
     finally:
         spark.conf.set(setting, before)
+
+
+def test_workers_hold_little_beside_a_full_heap(spark, monkeypatch):
+    """The driver's check stopped a later round in toxicity, beside the workers of the last stage that had kept up to 1.5 million pieces."""
+    asked = []
+    monkeypatch.setattr(corpus_pipeline.bpe, "intact", lambda docs, path, kept=corpus_pipeline.bpe.PIECES_KEPT: asked.append(kept) or docs)
+    corpus_pipeline.STAGES[-1][1](spark, spark.range(1), "")
+    assert asked[0] <= 300_000 and corpus_pipeline.BATCH_BYTES <= 256 << 10

@@ -221,8 +221,8 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, kept: int = PIECES_KEPT) -> Encoder:
+    return Encoder(path, kept)
 
 
 def offsets_of(text: str, ids: np.ndarray, table: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -234,10 +234,11 @@ def offsets_of(text: str, ids: np.ndarray, table: list[bytes]) -> tuple[np.ndarr
     return starts, ends, char[starts] if len(ends) else starts, char[ends - 1] + 1 if len(ends) else ends
 
 
-def encode(docs: DataFrame, path: str, column: str = "text", offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, column: str = "text", offsets: bool = False, kept: int = PIECES_KEPT) -> DataFrame:
     """Adds `token_ids` array<int>; with `offsets`, `byte_start`, `byte_end`, `char_start` and `char_end` arrays too.
 
-    A null or empty text has no tokens. Columns of these names are replaced; rows may repeat and are kept as they are.
+    A null or empty text has no tokens. Columns of these names are replaced; rows may repeat and are kept as they are. `kept` pieces
+    are remembered by a worker (some 100 bytes each); how many bears on time and memory, never on the ids.
     """
     names = ["token_ids", *(["byte_start", "byte_end", "char_start", "char_end"] if offsets else [])]
     rest = docs.select(*[c for c in docs.columns if c not in names])
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, path: str, column: str = "text", offsets: bool = Fal
     source = rest.withColumn(own, target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, table = encoder(path), token_bytes(path) if offsets else []
+        coder, table = encoder(path, kept), token_bytes(path) if offsets else []
         for batch in chunks(batches, own):
             ids, bounds, _, _ = coder.rows(batch.column(own))
             made = [pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))]
@@ -303,7 +304,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", column: str = "t
     return source.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def intact(docs: DataFrame, path: str) -> DataFrame:
+def intact(docs: DataFrame, path: str, kept: int = PIECES_KEPT) -> DataFrame:
     """The rows with `token_ids` and `n_tokens` beside them: what a trainer reads. Every row is kept."""
-    return encode(docs, path).withColumn("n_tokens", F.size("token_ids").cast("long"))
+    return encode(docs, path, kept=kept).withColumn("n_tokens", F.size("token_ids").cast("long"))
 
