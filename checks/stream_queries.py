@@ -70,7 +70,7 @@ def stream_bronze_counts(spark, sf_dir, v: Views):
     out = None
     for topic, stream in _topics(v).items():
         run = jobs.ingest(stream, f"stream-{topic}", INGEST_DAY)
-        written = spark.read.parquet(run.path)
+        written = spark.read.parquet(jobs.whole(run))
         day = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
         counts = partition_counts(written.withColumn("__day", day), "__day").select(F.lit(topic).alias("topic"), "*")
         out = counts if out is None else out.unionAll(counts)

@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from waybill.plans import gold
 from waybill.schemas import GPS_EVENTS
@@ -133,6 +134,17 @@ def test_late_rows_with_keys_of_both_kinds(spark, tmp_path, ts, kind):
     assert sorted((r.arrival, r.n) for r in got.collect()) == [("late", 14)] + [("on_time", n) for n in (2, 4, 5, 6, 7, 10, 11, 12)]
 
 
+def test_the_table_of_a_failed_stream_is_no_result(spark, batches, ts):
+    stream = batches([(1, 1, 1, 40.8, ts(0))], [(2, 1, 1, 40.8, ts(1))])
+    broken = jobs.dedup_with_late(stream.withColumn("accuracy", F.when(F.col("event_id") == "E2", F.raise_error(F.lit("bad row"))).cast("double")), buckets=2)
+    run = jobs.drain(broken, "t-broken", ["arrival"])
+    assert run.errors == 1 and "bad row" in run.failure
+    with pytest.raises(RuntimeError, match="bad row"):
+        jobs.table(spark, run, broken.schema)
+    sound = jobs.dedup_with_late(stream, buckets=2)
+    assert jobs.table(spark, jobs.drain(sound, "t-sound", ["arrival"]), sound.schema).count() == 2
+
+
 def test_a_bucket_of_a_large_batch_is_held_once():
     import tracemalloc
 

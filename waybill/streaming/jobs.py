@@ -171,6 +171,7 @@ class Drained:
     batches_written: int
     rows_dropped_late: int
     errors: int
+    failure: str | None = None
 
 
 def start(
@@ -232,24 +233,32 @@ def drain(
             rows, dropped = batches.get(p.batchId, (0, 0))
             batches[p.batchId] = (max(rows, p.numInputRows), max(dropped, late))
 
-    errors = 0
+    failure = None
     try:
         while not query.awaitTermination(1):
             collect()
-    except StreamingQueryException:  # what its batches had written before stays and is counted
-        errors = 1
+    except StreamingQueryException as broken:  # what its batches had written before stays and is counted
+        failure = str(broken)
     collect()
     return Drained(
         path=path,
         total_records=sum(rows for rows, _ in batches.values()),
         batches_written=sum(1 for rows, _ in batches.values() if rows > 0),
         rows_dropped_late=sum(dropped for _, dropped in batches.values()),
-        errors=errors,
+        errors=0 if failure is None else 1,
+        failure=failure,
     )
 
 
+def whole(drained: Drained) -> str:
+    """The path of a run that came to the end of its input; one that failed on the way has written a part, which is no result."""
+    if drained.errors:
+        raise RuntimeError(f"the stream into {drained.path} failed, its table is not whole: {drained.failure}")
+    return drained.path
+
+
 def table(spark: SparkSession, drained: Drained, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(drained.path)
+    return spark.read.schema(schema).parquet(whole(drained))
 
 
 def ingest(stream: DataFrame, label: str, ingest_date: date, path: str | None = None) -> Drained:
