@@ -21,17 +21,21 @@ from waybill.sources.readers import read_layer
 AT = datetime(2024, 2, 1)
 
 
-def write_landing(v: Views, path: str) -> None:
-    """The test tables as JSON lines, in the shape of the four source datasets."""
+def landing(v: Views) -> dict[str, DataFrame]:
+    """The test tables in the shape of the four source datasets."""
     tables = {
         "drivers": v["drivers"].withColumn("onboard_timestamp", F.lit("2024-01-01").cast("timestamp")),
         "orders": v["orders_l"].withColumn("status", F.lit("completed")),
         "gps_events": v["gps_bronze"],
         "weather_events": v["weather"],
     }
-    for name, table in tables.items():
-        fields = DATASETS[name].fields
-        writers.write_jsonl(table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in fields)), f"{path}/{name}")
+    return {name: table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in DATASETS[name].fields)) for name, table in tables.items()}
+
+
+def write_landing(v: Views, path: str) -> None:
+    """The four source datasets as JSON lines."""
+    for name, rows in landing(v).items():
+        writers.write_jsonl(rows, f"{path}/{name}")
 
 
 HOURLY_FULL = f"""SELECT h.region FROM ({HOURLY}) h FULL JOIN (
@@ -75,6 +79,7 @@ def daily_layers(spark, sf_dir, v: Views):
 
 
 FIRST_TIME = "order_id % 3 = 0"
+FILE_ROWS = 100_000  # of a compressed landing file
 FIRST_ARRIVALS = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival, event_timestamp, order_id) AS rn
   FROM (SELECT *, 0 AS arrival FROM gps_bronze WHERE {FIRST_TIME} UNION ALL SELECT *, 1 FROM gps_bronze)) WHERE rn = 1)"""
 
@@ -96,14 +101,12 @@ UNION ALL SELECT 'gold/region_hourly_metrics', count(*), CAST(sum(n) AS BIGINT),
 def daily_two_runs(spark, sf_dir, v: Views):
     """A third of all records in a first run, everything in a second one; then the same bronze in one build."""
     base = scratch_path(spark, "two-runs")
-    write_landing(v, f"{base}/all")
     lake = daily.Lake(f"{base}/lake")
     for n, at in enumerate((AT, AT + timedelta(days=1))):
         source = f"{base}/landing{n}"
-        for name, schema in DATASETS.items():
-            rows = spark.read.schema(schema).json(f"{base}/all/{name}")
+        for name, rows in landing(v).items():
             part = {"orders": "order_id % 3 = 0", "gps_events": FIRST_TIME, "weather_events": "weather_event_id % 3 = 0"}.get(name)
-            writers.write_jsonl(rows.where(part) if part and n == 0 else rows, f"{source}/{name}")
+            writers.write_jsonl(rows.where(part) if part and n == 0 else rows, f"{source}/{name}", "gzip", FILE_ROWS)
         daily.ingest_all(spark, source, lake, at)
         daily.bring_up_to_date(spark, lake, at)
     sums = {

@@ -1,6 +1,7 @@
 """Runs that come one after another, against one build over all of them."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from waybill.functions.digests import content_hash
 from waybill.plans import daily, runs
 from waybill.plans.bronze import newer_than, with_ingestion
 from waybill.schemas import DATASETS, GPS_EVENTS
+from waybill.session import shared_folder
 from waybill.sources import folders, merge, readers, writers
 from waybill.streaming import jobs
 
@@ -91,6 +93,33 @@ def test_runs_one_by_one_equal_one_build(spark, tmp_path, three_landings, monkey
     assert rows == {"O1": (3, 20), "O2": (4, -10), "O3": (9, 10), "O4": (10, 0)}
 
 
+def test_intermediate_tables_go_when_the_runs_are_committed(spark, tmp_path, three_landings, monkeypatch):
+    held = lambda: {p.name for p in Path(f"{shared_folder(spark)}/waybill").glob("*")}
+    lake, before = daily.Lake(str(tmp_path / "lake")), held()
+    for landed, at in zip(three_landings[:2], AT, strict=False):
+        daily.ingest_all(spark, landed, lake, at)
+        daily.bring_up_to_date(spark, lake, at)
+    assert held() == before
+    daily.ingest_all(spark, three_landings[2], lake, AT[2])
+    with monkeypatch.context() as patch, pytest.raises(ZeroDivisionError):  # what a broken job was writing stays for the next one
+        patch.setattr(daily.runs, "commit", lambda *_: 1 / 0)
+        daily.bring_up_to_date(spark, lake, AT[2])
+    contents = {Path(path).name for _, path in runs.pending(spark, lake.base).contents()}
+    assert contents and contents <= held()
+    daily.bring_up_to_date(spark, lake, AT[2])
+    assert not runs.pending(spark, lake.base).rows and spark.read.parquet(lake.gold("deliveries")).count() == 5
+
+
+def test_a_compressed_landing_is_ingested_whole(spark, tmp_path):
+    schema, rows = DATASETS["orders"], [orders_row(i, 1 + i % 9, None if i % 4 else i) for i in range(25)]
+    writers.write_jsonl(spark.createDataFrame(rows, schema).coalesce(1), str(tmp_path / "orders"), "gzip", 10)
+    files = sorted((tmp_path / "orders").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)
+    daily.bronze.ingest_jsonl(spark, "orders", str(tmp_path / "orders"), str(tmp_path / "lake"), AT[0])
+    got = runs.read_bronze(spark, str(tmp_path / "lake"), "orders").select(*schema.names).collect()
+    assert sorted(map(tuple, got), key=lambda r: int(r[0][1:])) == rows
+
+
 def test_a_row_that_moves_leaves_its_old_date(spark, tmp_path, ts):
     path, schema = str(tmp_path / "t"), "order_id long, created_at timestamp, v int"
     make = lambda rows: spark.createDataFrame(rows, schema)

@@ -24,7 +24,7 @@ from waybill.operators.contracts import accepted, meets_bronze, meets_silver
 from waybill.operators.drift import drift_result, feature_drift
 from waybill.plans import bronze, features, gold, incremental, runs, silver
 from waybill.schemas import DATASETS, RETENTION_DAYS
-from waybill.session import build_session, materialize
+from waybill.session import build_session, materialize, passing
 from waybill.sources import folders, readers, writers
 
 
@@ -160,15 +160,16 @@ def _complete(spark: SparkSession, lake: Lake) -> bool:
 
 def bring_up_to_date(spark: SparkSession, lake: Lake, at: datetime, oldest: date | None = None, full: bool = False) -> None:
     """Silver and gold over all runs in bronze: from the runs not taken up yet, or anew where there is nothing to start from, where
-    one of the runs has been ingested again, or when asked to."""
+    one of the runs has been ingested again, or when asked to. Once the runs are committed, the intermediate tables go."""
     taken = runs.pending(spark, lake.base)
-    if full or taken.repeated or not _complete(spark, lake):
-        raw = {name: runs.read_bronze(spark, lake.base, name) for name in DATASETS}
-        tables = build_silver(spark, raw, lake, run_id(at))
-        build_gold(spark, retained(spark, tables, lake, oldest), lake)
-        runs.commit(spark, lake.base, taken, at, incremental.longest_minutes(tables["orders"]))
-    elif taken.rows or taken.attempted:
-        take_up(spark, lake, taken, at, oldest)
+    with passing(spark):
+        if full or taken.repeated or not _complete(spark, lake):
+            raw = {name: runs.read_bronze(spark, lake.base, name) for name in DATASETS}
+            tables = build_silver(spark, raw, lake, run_id(at))
+            build_gold(spark, retained(spark, tables, lake, oldest), lake)
+            runs.commit(spark, lake.base, taken, at, incremental.longest_minutes(tables["orders"]))
+        elif taken.rows or taken.attempted:
+            take_up(spark, lake, taken, at, oldest)
     if oldest is not None:
         path, first = lake.gold("deliveries"), f"{oldest:%Y%m%d}"
         folders.drop_days(spark, path, {d for d in folders.held_days(spark, path) if d != folders.UNDATED and d < first})

@@ -29,6 +29,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(folder)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; one that doesn't exist is passed over."""
+    folder, store = _folder(spark, path)
+    store.delete(folder, True)
+
+
 def day_of() -> Column:
     """The date columns of a row as one text such as ``20240115``; undated rows have a text of their own."""
     return F.coalesce(F.concat(*DATE_COLUMNS), F.lit(UNDATED))

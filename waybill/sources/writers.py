@@ -133,11 +133,14 @@ def write_features(df: DataFrame, base: str, name: str, dataset_hash: str) -> st
     return path
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """One JSON object per line, nulls kept, ISO timestamps."""
+def write_jsonl(df: DataFrame, path: str, compression: str = "none", file_rows: int = 0) -> None:
+    """One JSON object per line, nulls kept, ISO timestamps; a file has ``file_rows`` lines at most, any number of them when 0. A
+    compressed file is read by one task, so it should have a limit."""
     (
         df.write.mode("overwrite")
         .option("ignoreNullFields", "false")
+        .option("compression", compression)
+        .option("maxRecordsPerFile", file_rows)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         .json(path)
     )
