@@ -158,3 +158,20 @@ def test_file_hashes(spark, tmp_path):
         (tmp_path / name).write_bytes(data)
     got = {r.path.split(tmp_path.name + "/")[1].replace("%20", " "): r.sha256 for r in digests.file_hashes(spark, str(tmp_path)).collect()}
     assert got == {n: hashlib.sha256(d).hexdigest() for n, d in contents.items()}
+
+
+
+def test_file_hashes_of_files_beyond_the_limit(spark, tmp_path, monkeypatch):
+    (tmp_path / "in/sub").mkdir(parents=True)
+    contents = {"a.bin": b"hello", "edge.bin": b"y" * 1000, "sub/b c%20d.bin": bytes(range(256)) * 13}
+    for name, data in contents.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    monkeypatch.setattr(digests, "PIECE", 100)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.hashes.link./in", f"file://{tmp_path}/in")
+    spark.conf.set(digests.MAX_LENGTH, "1000")
+    try:
+        for path in (str(tmp_path / "in"), f"file://{tmp_path}/in", "viewfs://hashes/in"):
+            got = {r.path.split("/in/")[1]: (r.length, r.sha256) for r in digests.file_hashes(spark, path, "*.bin").collect()}
+            assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
+    finally:
+        spark.conf.unset(digests.MAX_LENGTH)
